@@ -22,6 +22,40 @@ NPI = "lpad(CAST(c_custkey AS string), 10, '0')"
 SNAPSHOT = "CAST(o_orderdate AS date)"
 YEARLY = "make_date(CAST(year(o_orderdate) AS int), 1, 1)"
 
+
+
+def key_sql(*columns: str) -> str:
+    """The address key written out in SQL."""
+    parts = [f"replace(coalesce({c}, ''), '|', '')" for c in columns]
+    parts[4] = f"substring({parts[4]}, 1, 5)"
+    return " || '|' || ".join(parts)
+
+
+PRACTICE_KEY = key_sql(
+    "provider_first_line_business_practice_location_address",
+    "provider_second_line_business_practice_location_address",
+    "provider_business_practice_location_address_city_name",
+    "provider_business_practice_location_address_state_name",
+    "provider_business_practice_location_address_postal_code",
+    "provider_business_practice_location_address_country_code_if_outside_us",
+)
+MAILING_KEY = key_sql(
+    "provider_first_line_business_mailing_address",
+    "provider_second_line_business_mailing_address",
+    "provider_business_mailing_address_city_name",
+    "provider_business_mailing_address_state_name",
+    "provider_business_mailing_address_postal_code",
+    "provider_business_mailing_address_country_code_if_outside_us",
+)
+PL_KEY = key_sql(
+    "provider_secondary_practice_location_address_address_line_1",
+    "provider_secondary_practice_location_address__address_line_2",
+    "provider_secondary_practice_location_address__city_name",
+    "provider_secondary_practice_location_address__state_name",
+    "provider_secondary_practice_location_address__postal_code",
+    "provider_secondary_practice_location_address__country_code_if_outside_us",
+)
+
 FRAMES = {
     "snapshot_rows": """
         SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, o_totalprice,
@@ -166,12 +200,21 @@ FRAMES = {
           CASE WHEN l_linestatus = 'O' THEN 'drug' END
             AS name_of_drug_or_biological_or_device_or_medical_supply_1
         FROM {lineitem} WHERE l_returnflag = 'R'""",
-    "located_keys": """
-        SELECT DISTINCT n_nationkey, c_mktsegment, npi,
-          provider_first_line_business_practice_location_address AS line1_b,
-          provider_second_line_business_practice_location_address AS line2_b,
-          provider_first_line_business_mailing_address AS line1_m
-        FROM {npidata} JOIN {snapshot_rows} USING (o_orderkey)""",
+    "located_rows": f"""
+        SELECT npi, entity_type_code, _input_file_date,
+          concat_ws(' ', provider_first_name, provider_last_name_legal_name,
+            provider_organization_name_legal_business_name) AS name,
+          {PRACTICE_KEY} AS key_b, {MAILING_KEY} AS key_m,
+          CAST(24 + n_nationkey AS double) + CAST(length(c_mktsegment) AS double) / 100 AS lat,
+          CAST(2 * n_nationkey - 120 AS double) AS lng
+        FROM {{npidata}} JOIN {{snapshot_rows}} USING (o_orderkey)""",
+    "answers": """
+        SELECT DISTINCT address_key,
+          CASE WHEN address_key LIKE '%3-MEDIUM%' THEN 'No_Match' ELSE 'Match' END
+            AS census_status,
+          lat AS census_latitude, lng AS census_longitude
+        FROM (SELECT key_b AS address_key, lat, lng FROM {located_rows}
+              UNION ALL SELECT key_m AS address_key, lat, lng FROM {located_rows}) AS k""",
 }
 
 
@@ -180,7 +223,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def inputs_of(text: str) -> list[str]:
-    return list(dict.fromkeys(re.findall(r"\{(\w+)\}", text)))
+    return list(dict.fromkeys(re.findall(r"\{([a-z_]+)\}", text)))
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -202,9 +245,9 @@ def with_frames(query: str) -> str:
                 order.append(name)
 
     need(query)
-    plain = {name: re.sub(r"\{(\w+)\}", r"\1", FRAMES[name]) for name in order}
+    plain = {name: re.sub(r"\{([a-z_]+)\}", r"\1", FRAMES[name]) for name in order}
     ctes = ", ".join(f"{name} AS ({text})" for name, text in plain.items())
-    body = re.sub(r"\{(\w+)\}", r"\1", query)
+    body = re.sub(r"\{([a-z_]+)\}", r"\1", query)
     if not ctes:
         return body
     stripped = body.lstrip()

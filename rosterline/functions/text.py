@@ -80,9 +80,8 @@ def clean_street(c: Column | str) -> Column:
     street = col_of(c)
     found = [F.nullif(F.instr(street, m), F.lit(0)) for m in STREET_END_MARKERS]
     cut = F.least(*found)
-    kept = F.when(cut.isNull(), F.upper(street)).otherwise(
-        F.upper(F.substr(street, F.lit(1), cut - 1))
-    )
+    upper = F.upper(street)
+    kept = F.when(cut.isNull(), upper).otherwise(F.substr(upper, F.lit(1), cut - 1))
     return strip(F.translate(kept, ".,&", ""))
 
 

@@ -29,7 +29,7 @@ def hot_keys(
     """
     load = F.count(F.lit(1)) if weight is None else F.sum(weight)
     loads = df.groupBy(*keys).agg(load.alias("_load"))
-    total = df.agg(load.alias("_total")).scalar()
+    total = loads.agg(F.sum("_load")).scalar()
     return loads.where((F.col("_load") > floor) & (F.col("_load") * F.lit(max_keys) > total))
 
 

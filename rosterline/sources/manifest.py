@@ -100,6 +100,14 @@ def snapshot_date(name: Column | str) -> Column:
     )
 
 
+def path_snapshot_date(path: Column | str) -> Column:
+    """``snapshot_date`` of the last part of a path, else of the folder that holds it."""
+    parts = F.split(col_of(path), "/")
+    return F.coalesce(
+        snapshot_date(F.element_at(parts, -1)), snapshot_date(F.try_element_at(parts, F.lit(-2)))
+    )
+
+
 def classify_file(df: DataFrame, name: str) -> DataFrame:
     """Add ``kind``, ``folder``, ``archive`` and ``snapshot_date`` to rows of file names."""
     kind = file_kind(name)

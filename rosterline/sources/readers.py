@@ -13,7 +13,7 @@ from rosterline.functions.fixed import SNAPSHOT_DATE, UNINFORMATIVE_COLUMNS
 from rosterline.functions.text import null_if_blank, strip
 from rosterline.operators.fold import fold_repeated_groups, folded_sources
 from rosterline.sources.headers import header_schema, paths_by_header
-from rosterline.sources.manifest import snapshot_date
+from rosterline.sources.manifest import path_snapshot_date
 
 # Quotes inside quoted fields are doubled in all registry files.
 CSV_OPTIONS = {"escape": '"'}
@@ -25,7 +25,7 @@ def read_csv_files(
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
     multi_line: bool = False,
 ) -> DataFrame:
-    """All files as text columns plus the snapshot date out of their names.
+    """All files (or folders of part files) as text plus the snapshot date in their names.
 
     Files with the same header are one scan; ``shape`` runs on each such scan before the
     scans are put together by name, a column that a file lacks being null.
@@ -38,7 +38,8 @@ def read_csv_files(
             .schema(header_schema(header, date_suffix=None))
             .csv(group)
         )
-        dated = raw.select("*", snapshot_date(F.col("_metadata.file_name")).alias(SNAPSHOT_DATE))
+        date = path_snapshot_date(F.col("_metadata.file_path")).alias(SNAPSHOT_DATE)
+        dated = raw.select("*", date)
         parts.append(shape(dated))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
@@ -92,7 +93,7 @@ def read_deactivated(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
             F.try_to_timestamp(F.substring(strip("deactivation_date"), 1, 10), F.lit("yyyy-MM-dd"))
             .cast("date"),
         ).alias("deactivation_date"),
-        snapshot_date(F.col("_metadata.file_name")).alias(SNAPSHOT_DATE),
+        path_snapshot_date(F.col("_metadata.file_path")).alias(SNAPSHOT_DATE),
     ).where(F.col("npi").rlike("^[0-9]+$"))
 
 
