@@ -22,7 +22,6 @@ from rosterline.operators.addresses import (
     parse_json_responses,
     worklist,
 )
-from rosterline.session import staged
 from rosterline.operators.places import (
     address_cells,
     cell_organisations,
@@ -30,6 +29,7 @@ from rosterline.operators.places import (
     located_providers,
     poi_matches,
 )
+from rosterline.session import staged
 
 STEP = cell_step()
 
@@ -174,7 +174,7 @@ def geocode_requests_query(spark: SparkSession, sf: str) -> DataFrame:
 )
 def parse_batch_query(spark: SparkSession, sf: str) -> DataFrame:
     """Answers are made for every request: whole lines, short lines, unusable coordinates."""
-    requests = geocode_requests(_keys(spark, sf))
+    requests = staged(geocode_requests(_keys(spark, sf)), "requests")
     parts = F.split("address_key", r"\|")
     city, state, postal_code = [F.get(parts, i) for i in (2, 3, 4)]
     pair = F.when(state == "ASIA", F.lit("n/a,1")).otherwise(

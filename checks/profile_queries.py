@@ -225,7 +225,7 @@ NDF_SQL = """
       min(telephone_number) AS telephone_number FROM {dac_ndf}
     WHERE _input_file_date = (SELECT max(_input_file_date) FROM {dac_ndf}) GROUP BY npi"""
 AKA_SQL = f"""
-    SELECT npi, 0 AS part,
+    SELECT npi, 0 AS part, count(DISTINCT othername) AS total,
       '(' || string_agg(DISTINCT othername, ', ' ORDER BY othername) || ')' AS aka
     FROM ({OTHERNAME_SQL}) AS o GROUP BY npi"""
 
@@ -305,7 +305,7 @@ PROFILE_SQL = f"""
 
 def _tables(spark: SparkSession, sf: str) -> tuple[RegistryTables, OutsideTables]:
     registry = RegistryTables(
-        npidata_with_slots(spark, sf),
+        staged(npidata_with_slots(spark, sf), "npidata"),
         *[frame(spark, sf, n) for n in ("othername", "endpoint", "pl", "taxonomy_lookup")],
     )
     outside = OutsideTables(
@@ -344,11 +344,18 @@ def search_columns_query(spark: SparkSession, sf: str) -> DataFrame:
     return with_search_text(rows).select("o_orderkey", "name_search", "address_search")
 
 
-@check("profile_continuations", "SELECT '' AS npi, '' AS field, 0 AS part, '' AS items WHERE 1 = 0")
+@check(
+    "profile_continuations",
+    f"""SELECT npi, token, count(*) OVER (PARTITION BY npi) AS total
+        FROM ({PAYMENT_ROWS_SQL}) AS p""",
+)
 def continuations_query(spark: SparkSession, sf: str) -> DataFrame:
-    """No list of the given tables is long enough to need further parts."""
-    parts = [payments_by_provider(_payments(spark, sf)), affiliation_groups(_edges(spark, sf))]
-    return profile_continuations(parts).withColumn("items", F.array_join("items", ";"))
+    """Long lists cut into parts of about ten: first parts and continuations hold every item."""
+    listed = staged(payments_by_provider(_payments(spark, sf), 10, 1_000_000), "parts")
+    totals = listed.groupBy("npi").agg(F.max("total").alias("total"))
+    first = listed.where(F.col("part") == 0).select("npi", F.col("openpayments").alias("items"))
+    both = first.unionByName(profile_continuations([listed]).select("npi", "items"))
+    return both.select("npi", F.explode("items").alias("token")).join(totals, "npi")
 
 
 @check(

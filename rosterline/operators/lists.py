@@ -55,11 +55,19 @@ def with_part(
     )
 
 
-def _gathered(placed: DataFrame, keys: list[str], items: Column, out: str) -> DataFrame:
-    """One row per key and part; ``total`` is the number of items in all parts of the key."""
-    lists = placed.groupBy(*keys, "part").agg(items.alias(out), F.max("_load").alias("_load"))
+def _gathered(
+    placed: DataFrame, keys: list[str], items: Column, out: str, first_only: bool
+) -> DataFrame:
+    """One row per key and part; ``total`` is the number of items in all parts of the key.
+
+    ``first_only`` gives part 0 alone, without the ``part`` column: rows of further parts do not
+    enter the shuffle, which is then by ``keys``, as a join on the keys wants it.
+    """
+    rows = placed.where(F.col("part") == 0) if first_only else placed
+    by = keys if first_only else [*keys, "part"]
+    lists = rows.groupBy(*by).agg(items.alias(out), F.max("_load").alias("_load"))
     total = F.coalesce(F.col("_load"), F.size(out).cast("bigint"))
-    return lists.select(*keys, "part", total.alias("total"), out)
+    return lists.select(*by, total.alias("total"), out)
 
 
 def list_parts(
@@ -69,6 +77,7 @@ def list_parts(
     out: str,
     max_items: int = MAX_ITEMS,
     max_keys: int = MAX_HOT_KEYS,
+    first_only: bool = False,
 ) -> DataFrame:
     """``keys, part, total, out``: sorted lists of the items of each key. One shuffle of the rows.
 
@@ -77,7 +86,7 @@ def list_parts(
     """
     rows = df.select(*keys, item.alias("_item"))
     placed = with_part(rows, keys, F.col("_item"), None, max_items, max_keys)
-    return _gathered(placed, keys, F.sort_array(F.collect_list("_item")), out)
+    return _gathered(placed, keys, F.sort_array(F.collect_list("_item")), out, first_only)
 
 
 def set_parts(
@@ -87,10 +96,11 @@ def set_parts(
     out: str,
     max_items: int = MAX_ITEMS,
     max_keys: int = MAX_HOT_KEYS,
+    first_only: bool = False,
 ) -> DataFrame:
     """``list_parts`` of the distinct non-null items; copies go before the first shuffle."""
     rows = df.select(*keys, item.alias("_member")).where(F.col("_member").isNotNull()).distinct()
-    return list_parts(rows, keys, F.col("_member"), out, max_items, max_keys)
+    return list_parts(rows, keys, F.col("_member"), out, max_items, max_keys, first_only)
 
 
 def multiset_parts(
@@ -100,18 +110,20 @@ def multiset_parts(
     out: str,
     max_items: int = MAX_ITEMS,
     max_keys: int = MAX_HOT_KEYS,
+    first_only: bool = False,
 ) -> DataFrame:
     """``list_parts`` that keeps copies, even if one item makes up most of the rows.
 
-    Copies are counted before the first shuffle and travel as a count. An item with more copies
-    than fit in a list is cut into runs that are placed one by one.
+    Copies are counted before the first shuffle and travel as a count. The copies of an item are
+    cut into runs, a fiftieth of a list at most, that are placed one by one.
     """
+    run_length = max(1, max_items // 50)
     counted = df.groupBy(*keys, item.alias("_item")).agg(F.count(F.lit(1)).alias("_n"))
-    last_run = ((F.col("_n") - 1) / F.lit(max_items)).cast("bigint")
-    left = F.col("_n") - F.col("_run") * F.lit(max_items)
+    last_run = F.floor((F.col("_n") - 1) / F.lit(run_length)).cast("bigint")
+    left = F.col("_n") - F.col("_run") * F.lit(run_length)
     runs = (
         counted.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)).alias("_run"))
-        .withColumn("_n", F.least(F.lit(max_items), left).cast("int"))
+        .withColumn("_n", F.least(F.lit(run_length), left).cast("int"))
     )
     entry = F.struct("_item", "_run", "_n")
     placed = with_part(
@@ -124,7 +136,7 @@ def multiset_parts(
     )
     entries = F.sort_array(F.collect_list("_entry"))
     copies = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["_item"], e["_n"])))
-    return _gathered(placed, keys, copies, out)
+    return _gathered(placed, keys, copies, out, first_only)
 
 
 def first_n(

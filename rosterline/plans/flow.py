@@ -30,7 +30,7 @@ from rosterline.plans.histories import (
     pl_se,
     taxonomy_se,
 )
-from rosterline.plans.profile import provider_profile
+from rosterline.plans.profile import profile_continuations, provider_profile
 from rosterline.session import staged
 
 
@@ -90,41 +90,59 @@ def colocation(npidata: DataFrame, answers: DataFrame, step: float) -> tuple[Dat
     return organisations, colocation_lists(located, organisations)
 
 
-def profile_parts(
-    histories: dict[str, DataFrame], outside: OutsideTables
-) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Facts (one row per npi) and lists (parts per npi) for ``provider_profile``."""
-    facts, lists = [], []
-    if outside.reval is not None and outside.pc_provider is not None:
-        edges = staged(affiliation_edges(outside.reval, outside.pc_provider), "edges")
+def profile_facts(outside: OutsideTables, edges: DataFrame | None) -> list[DataFrame]:
+    """Outside attributes, one row per npi each."""
+    facts = []
+    if edges is not None:
         facts += [affiliation_summary(edges), employer_roster(edges)]
-        lists.append(affiliation_groups(edges))
     if outside.optout is not None:
         facts.append(optout_dates(outside.optout))
     if outside.dac_ndf is not None:
         facts.append(clinician_facts(outside.dac_ndf))
-    if outside.otherid_ccn_se is not None:
-        histories = {**histories, "otherids_ccn": outside.otherid_ccn_se}
-    for name, history in histories.items():
-        lists.append(token_list(history, TOKEN_COLUMNS[name], name))
+    return facts
+
+
+def profile_lists(
+    histories: dict[str, DataFrame],
+    outside: OutsideTables,
+    edges: DataFrame | None,
+    first_only: bool,
+) -> list[DataFrame]:
+    """All list columns of the profile, as first parts or with every part."""
+    how = {"first_only": first_only}
+    lists = [] if edges is None else [affiliation_groups(edges, **how)]
+    tokens = {**histories, "otherids_ccn": outside.otherid_ccn_se}
+    lists += [
+        token_list(history, TOKEN_COLUMNS[name], name, **how)
+        for name, history in tokens.items()
+        if history is not None
+    ]
     if "othernames" in histories:
-        lists.append(also_known_as(histories["othernames"]))
+        lists.append(also_known_as(histories["othernames"], **how))
     if outside.general_payments is not None and outside.research_payments is not None:
         payments = all_payments(outside.general_payments, outside.research_payments)
-        lists.append(payments_by_provider(payments))
-    return facts, lists
+        lists.append(payments_by_provider(payments, **how))
+    return lists
 
 
 def profile_flow(
     tables: RegistryTables, outside: OutsideTables, neighbours: DataFrame | None = None
-) -> tuple[DataFrame, list[DataFrame]]:
-    """Provider profile and the list parts behind it (for ``profile_continuations``)."""
+) -> tuple[DataFrame, DataFrame]:
+    """Provider profile, and the continuations of lists that are too long for one row.
+
+    The start-end tables and the affiliation edges are written once, as both results and several
+    columns are made of them.
+    """
     histories = {name: staged(df, name) for name, df in history_tables(tables).items()}
-    facts, lists = profile_parts(histories, outside)
-    lists = [staged(listed, f"list-{listed.columns[-1]}") for listed in lists]
+    edges = None
+    if outside.reval is not None and outside.pc_provider is not None:
+        edges = staged(affiliation_edges(outside.reval, outside.pc_provider), "edges")
+    facts = profile_facts(outside, edges)
     if neighbours is not None:
         facts.append(neighbours.select("npi", "npi_lst_b", "npi_lst_m"))
-    return provider_profile(tables.npidata, facts, lists), lists
+    first = profile_lists(histories, outside, edges, first_only=True)
+    every = profile_lists(histories, outside, edges, first_only=False)
+    return provider_profile(tables.npidata, facts, first), profile_continuations(every)
 
 
 def directory_flow(outside: OutsideTables) -> DataFrame:
