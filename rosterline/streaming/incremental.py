@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rosterline.sources.store import append_snapshot
 
+# Columns of Spark's binaryFile source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def load_new_files(
     spark: SparkSession,
@@ -34,6 +37,7 @@ def load_new_files(
 
     arrivals = (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
         .select("path")
