@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.frames import MAILING_KEY, PL_KEY, PRACTICE_KEY, frame, table
@@ -335,7 +335,7 @@ def poi_matches_query(spark: SparkSession, sf: str) -> DataFrame:
     ok = F.col("c_acctbal") >= 0
     key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
 
-    def when_ok(*parts: F.Column | str, other: str = "") -> F.Column:
+    def when_ok(*parts: Column | str, other: str = "") -> Column:
         return F.when(
             ok, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
         ).otherwise(F.lit(other))

@@ -11,6 +11,7 @@ from rosterline.functions.dates import parse_us_date
 from rosterline.functions.text import header_name, normalize_header
 from rosterline.operators.fold import OTHER_IDS, TAXONOMIES, fold_repeated_groups, pack
 from rosterline.session import work_folder
+from rosterline.sources.headers import header_schema
 from rosterline.sources.manifest import (
     archive_name,
     classify_file,
@@ -25,6 +26,7 @@ from rosterline.sources.readers import (
     read_side_files,
 )
 from rosterline.sources.store import append_snapshot, read_latest, read_store
+from rosterline.streaming.incremental import load_new_files
 
 
 @check(
@@ -314,6 +316,44 @@ def ingest_deactivated_query(spark: SparkSession, sf: str) -> DataFrame:
     return read_deactivated(spark, [path])
 
 
+@check(
+    "header_schema",
+    """SELECT CAST(o_orderkey AS varchar) AS npi, CAST(o_orderdate AS date) AS last_update_date,
+         o_orderstatus AS provider_gender_code FROM orders""",
+)
+def header_schema_query(spark: SparkSession, sf: str) -> DataFrame:
+    """A file with ISO dates read with the schema that its header asks for."""
+    header = ["NPI", "Last Update Date", "Provider Gender Code"]
+    raw = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date"), "o_orderstatus"
+    )
+    path = _csv_folder(raw.toDF(*header), work_folder(spark, "typed"), "npidata")
+    return spark.read.options(header=True, enforceSchema=True).csv(
+        path, schema=header_schema(header)
+    )
+
+
+@check(
+    "incremental_load",
+    """SELECT npi, endpoint_type, endpoint, CASE WHEN year(_input_file_date) >= 1998
+         THEN DATE '2001-12-31' ELSE DATE '1997-12-31' END AS _input_file_date FROM {endpoint}""",
+)
+def incremental_load_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Two arrivals in a landing folder, three calls: every file is loaded once."""
+    rows = frame(spark, sf, "endpoint")
+    recent = F.year("_input_file_date") >= 1998
+    folder = work_folder(spark, "landing")
+    store, checkpoint = f"{folder}/store", f"{folder}/checkpoint"
+    for arrived, name in [
+        (~recent, "endpoint_pfile_20050523-19971231"),
+        (recent, "endpoint_pfile_20050523-20011231"),
+    ]:
+        _csv_folder(rows.where(arrived).drop("_input_file_date"), f"{folder}/in", name)
+        load_new_files(spark, f"{folder}/in/*", store, checkpoint, read_side_files)
+    load_new_files(spark, f"{folder}/in/*", store, checkpoint, read_side_files)
+    return read_store(spark, store).select("npi", "endpoint_type", "endpoint", "_input_file_date")
+
+
 @check("stored_slots_round_trip", FOLDED_SQL)
 def stored_slots_query(spark: SparkSession, sf: str) -> DataFrame:
     """Slot arrays of the snapshot rows packed for export; the store keeps primary slots first."""

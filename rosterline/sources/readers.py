@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.functions.dates import parse_us_date
@@ -48,7 +48,7 @@ def clean_main_columns(df: DataFrame) -> DataFrame:
     """Dates by name, other columns stripped with blanks as null; slot columns left as they are."""
     slots = folded_sources(df.columns)
 
-    def cleaned(name: str) -> F.Column:
+    def cleaned(name: str) -> Column:
         if name in slots or name == SNAPSHOT_DATE:
             return F.col(name)
         if name.endswith("_date"):

@@ -16,7 +16,7 @@ from rosterline.plans.histories import license_se, otherid_se
 SF = "/root/testdata/sf0.001"
 WRITES = {
     "append_snapshot", "read_latest_snapshot", "ingest_main_file", "ingest_side_files",
-    "ingest_deactivated", "document_sink", "browse_directory", "lookup_by_key",
+    "ingest_deactivated", "header_schema", "incremental_load", "document_sink", "browse_directory", "lookup_by_key",
     "colocation_lists", "provider_profile", "profile_continuations", "parse_batch_responses",
 }
 
