@@ -262,12 +262,12 @@ CELL_TOKEN = "concat_ws('^', npi, entity_type_code, name)"
 
 
 def _located(spark: SparkSession, sf: str) -> DataFrame:
-    cells = address_cells(
-        frame(spark, sf, "answers").withColumn("last_updated", F.lit("2024-01-01").cast("date")),
-        STEP,
+    answers = frame(spark, sf, "answers").withColumn(
+        "last_updated", F.lit("2024-01-01").cast("date")
     )
+    cells = staged(address_cells(answers, STEP), "cells")
     year = frame(spark, sf, "npidata").where(F.year("_input_file_date") == 2001)
-    return located_providers(year, cells)
+    return located_providers(staged(year, "npidata"), cells)
 
 
 @check("located_providers", LOCATED_SQL)

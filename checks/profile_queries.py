@@ -23,7 +23,14 @@ from rosterline.operators.affiliations import (
     employer_directory,
     employer_roster,
 )
-from rosterline.operators.lookup import browse, by_key, search_text, search_words, word_index
+from rosterline.operators.lookup import (
+    SEARCH_FIELDS,
+    browse,
+    by_key,
+    search_text,
+    search_words,
+    word_index,
+)
 from rosterline.operators.payments import all_payments, payments_by_provider
 from rosterline.operators.rollups import also_known_as, clinician_facts, optout_dates, token_list
 from rosterline.operators.snapshots import change_frequency, latest_partition, latest_per_key
@@ -428,6 +435,25 @@ def search_documents_query(spark: SparkSession, sf: str) -> DataFrame:
     return search_text(table(spark, sf, "documents"), ["the", "de", "und"], "doc_id", ["text"], 100)
 
 
+@check(
+    "search_profiles",
+    search_sql(
+        f"(SELECT *, npi || ' ' || name_search || ' ' || address_search AS whole "
+        f"FROM (SELECT o_orderkey, npi, {SEARCH_SQL} FROM (SELECT *, NULL AS aka "
+        f"FROM ({LATEST_SQL}) AS l) AS a) AS s) AS t",
+        "o_orderkey", "whole", ["furniture", "nation", "africa", "ste"], 300,
+    ),
+)
+def search_profiles_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Words in number, name and address of the newest row of every provider."""
+    columns = [*BASE[1:-1], "o_orderkey"]
+    profiles = with_search_text(latest_per_key(frame(spark, sf, "npidata"), columns=columns))
+    fields = [f for f in SEARCH_FIELDS if f in profiles.columns]
+    return search_text(
+        profiles, ["Furniture", "NATION", "africa", "ste"], "o_orderkey", fields, 300
+    )
+
+
 @check(
     "search_index",
     search_sql("part", "p_partkey", "concat_ws(' ', p_name, p_brand, p_type)",

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from rosterline.functions.text import words
 
+# Profile columns that can be searched.
+SEARCH_FIELDS = ["npi", "name_search", "address_search", "reval_specialty"]
+
 
 def by_key(documents: DataFrame, value: str, key: str = "npi") -> DataFrame:
     return documents.where(F.col(key) == value)

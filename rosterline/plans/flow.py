@@ -30,7 +30,7 @@ from rosterline.plans.histories import (
     pl_se,
     taxonomy_se,
 )
-from rosterline.plans.profile import profile_continuations, provider_profile
+from rosterline.plans.profile import profile_base, profile_continuations, provider_profile
 from rosterline.session import staged
 
 
@@ -84,7 +84,7 @@ TOKEN_COLUMNS = {
 
 def colocation(npidata: DataFrame, answers: DataFrame, step: float) -> tuple[DataFrame, DataFrame]:
     """Cell organisations and provider lists of the newest snapshot, both staged once."""
-    cells = address_cells(answers, step)
+    cells = staged(address_cells(answers, step), "cells")
     located = staged(located_providers(latest_partition(npidata), cells), "located")
     organisations = staged(cell_organisations(located), "organisations")
     return organisations, colocation_lists(located, organisations)
@@ -142,7 +142,8 @@ def profile_flow(
         facts.append(neighbours.select("npi", "npi_lst_b", "npi_lst_m"))
     first = profile_lists(histories, outside, edges, first_only=True)
     every = profile_lists(histories, outside, edges, first_only=False)
-    return provider_profile(tables.npidata, facts, first), profile_continuations(every)
+    base = staged(profile_base(tables.npidata), "base")
+    return provider_profile(base, facts, first), profile_continuations(every)
 
 
 def directory_flow(outside: OutsideTables) -> DataFrame:

@@ -23,13 +23,30 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a shuffle of ``input_bytes``: partitions of 128 MB, two per core at least.
+
+    AQE merges partitions that turn out small, so a generous number costs little.
+    """
+    partitions = max(2 * cores, -(-input_bytes // PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+    }
+
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names, shared by all executors.
+    """A new path in the session's checkpoint folder, which all executors share.
 
     Only a local session without that setting gets a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        shared = spark.sparkContext.getCheckpointDir()
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")

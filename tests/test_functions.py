@@ -17,6 +17,7 @@ from rosterline.functions.text import (
     words,
 )
 from rosterline.operators.history import code_label
+from rosterline.session import sizing
 from rosterline.sources.manifest import (
     archive_kind,
     classify_file,
@@ -117,7 +118,12 @@ def test_cells(spark):
     far = assign_cell(F.lit(11.0), F.lit(-20.0), 1.0)
     no = assign_cell(F.lit(None).cast("double"), F.lit(1.0), 1.0)
     values = one(spark, same, near, far, no)
-    assert values[0] == values[1] == "100:160" and values[2] == "101:160" and values[3] is None
+    assert values[0] == values[1] == "100:160" and values[2] == "101:160" and values[3] == ""
+
+
+def test_sizing_grows_with_the_input():
+    assert sizing(100 * 10**12, 4000)["spark.sql.shuffle.partitions"] == "745059"
+    assert sizing(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
 
 
 def test_code_labels(spark):

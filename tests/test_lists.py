@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from rosterline.operators.joins import lookup_join
 from rosterline.operators.lists import first_n, hot_keys, list_parts, multiset_parts, set_parts
 
 MAX = 50
@@ -90,3 +91,14 @@ def test_first_n_counts_all_and_shows_n(spark, skewed):
     hot = roster.where("key = 'h'").first()
     members = sorted({r.item for r in skewed.where("key = 'h'").collect()})
     assert hot.cnt == 601 and hot.out == members[:40]
+
+
+@pytest.mark.parametrize("crowd", [100, 10**9])
+def test_lookup_join_equals_a_left_join_with_and_without_crowded_keys(spark, skewed, crowd):
+    left = skewed.withColumn("key", F.when(F.col("key") != "k7", F.col("key")))
+    lookup = spark.createDataFrame([("h", 1), ("k1", 2), ("k2", 3)], "key string, a int")
+    other = spark.createDataFrame([("h", "x"), ("k3", "y")], "key string, b string")
+    plain = left.join(lookup, "key", "left").join(other, "key", "left")
+    safe = lookup_join(left, [lookup, other], ["key"], crowd=crowd)
+    assert safe.columns == plain.columns
+    assert Counter(map(tuple, safe.collect())) == Counter(map(tuple, plain.collect()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from checks.frames import frame, npidata_with_slots, table
@@ -17,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 WRITES = {
     "append_snapshot", "read_latest_snapshot", "ingest_main_file", "ingest_side_files",
     "ingest_deactivated", "header_schema", "incremental_load", "document_sink", "browse_directory", "lookup_by_key",
-    "colocation_lists", "provider_profile", "profile_continuations", "parse_batch_responses",
+    "colocation_lists", "cell_organisations", "located_providers", "provider_profile", "profile_continuations", "parse_batch_responses",
 }
 
 
@@ -71,6 +72,40 @@ def test_roster_limits_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_a_hot_key_on_the_wide_side_of_a_join_is_split(spark):
+    """A third of the rows belongs to one provider; the reader of its partition is split up."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = F.col("id")
+        rows = spark.range(0, 30000, 1, 4).select(
+            F.when(n % 3 == 0, F.lit("hot")).otherwise(n.cast("string")).alias("npi"),
+            F.lit("1").alias("entity_type_code"),
+            F.date_add(F.lit("2024-01-07").cast("date"), (n % 2).cast("int")).alias(
+                "_input_file_date"
+            ),
+            F.sha2(n.cast("string"), 512).alias("wide"),
+        )
+        newest = latest_per_key(rows)
+        assert len(newest.collect()) == 25000
+        assert "skew=true" in plan_of(newest)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def test_only_the_bounded_hot_key_table_is_broadcast_by_hint(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

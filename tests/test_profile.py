@@ -21,6 +21,7 @@ from rosterline.operators.rollups import also_known_as, clinician_facts, optout_
 from rosterline.operators.snapshots import change_frequency, latest_partition, latest_per_key
 from rosterline.plans.flow import OutsideTables, RegistryTables, directory_flow, profile_flow
 from rosterline.plans.profile import (
+    profile_base,
     profile_continuations,
     provider_profile,
     read_documents,
@@ -92,6 +93,12 @@ def test_directory_of_a_large_group_has_several_rows(edges):
     )
 
 
+def test_members_without_a_group_can_be_kept(edges):
+    kept = {r.npi: r for r in employer_directory(edges, ungrouped=True).collect()}
+    assert kept[""].employees == ["Jo M003^3"] and kept[""].category == "sole"
+    assert {r.npi for r in employer_roster(edges, ungrouped=True).collect()} == {"", "700", "800"}
+
+
 def test_size_buckets(spark):
     df = spark.createDataFrame([(n,) for n in (1, 2, 5, 6, 50, 51, 5000, 5001)], "n int")
     assert [r[0] for r in df.select(size_bucket("n")).collect()] == [
@@ -186,7 +193,7 @@ def test_profile_marks_and_continues_long_lists(spark, rows):
 
     first = list_parts(tokens, ["npi"], F.col("token"), "tokens", 10, first_only=True)
     every = list_parts(tokens, ["npi"], F.col("token"), "tokens", 10)
-    got = {r.npi: r for r in provider_profile(listed, [], [first]).collect()}
+    got = {r.npi: r for r in provider_profile(profile_base(listed), [], [first]).collect()}
     assert got["1"].more_parts and not got["2"].more_parts and got["2"].tokens == ["u"]
     assert got["1"].name_search == "JO" and got["1"].address_search == ""
     rest = profile_continuations([every]).collect()
