@@ -196,6 +196,10 @@ def _edges(spark: SparkSession, sf: str) -> DataFrame:
     return affiliation_edges(frame(spark, sf, "reval"), frame(spark, sf, "pc_provider"))
 
 
+def _stored_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return staged(_edges(spark, sf), "edges")
+
+
 @check("affiliation_edges", EDGES_SQL)
 def edges_query(spark: SparkSession, sf: str) -> DataFrame:
     return _edges(spark, sf)
@@ -203,22 +207,22 @@ def edges_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @check("employer_roster", ROSTER_SQL)
 def roster_query(spark: SparkSession, sf: str) -> DataFrame:
-    return employer_roster(_edges(spark, sf)).withColumn("employees", F.array_join("employees", ";"))
+    return employer_roster(_stored_edges(spark, sf)).withColumn("employees", F.array_join("employees", ";"))
 
 
 @check("affiliation_summary", SUMMARY_SQL)
 def summary_query(spark: SparkSession, sf: str) -> DataFrame:
-    return affiliation_summary(_edges(spark, sf))
+    return affiliation_summary(_stored_edges(spark, sf))
 
 
 @check("affiliation_groups", GROUPS_SQL)
 def groups_query(spark: SparkSession, sf: str) -> DataFrame:
-    return affiliation_groups(_edges(spark, sf)).withColumn("groups", F.array_join("groups", ";"))
+    return affiliation_groups(_stored_edges(spark, sf)).withColumn("groups", F.array_join("groups", ";"))
 
 
 @check("employer_directory", DIRECTORY_SQL)
 def directory_query(spark: SparkSession, sf: str) -> DataFrame:
-    return employer_directory(_edges(spark, sf)).withColumn(
+    return employer_directory(_stored_edges(spark, sf)).withColumn(
         "employees", F.array_join("employees", ";")
     )
 
@@ -371,7 +375,7 @@ def continuations_query(spark: SparkSession, sf: str) -> DataFrame:
 )
 def document_sink_query(spark: SparkSession, sf: str) -> DataFrame:
     """The directory as JSON lines, written twice: the second write replaces the first."""
-    directory = staged(employer_directory(_edges(spark, sf)), "directory")
+    directory = staged(employer_directory(_stored_edges(spark, sf)), "directory")
     path = work_folder(spark, "documents")
     write_documents(directory.limit(0), path)
     write_documents(directory, path)
@@ -389,7 +393,7 @@ def document_sink_query(spark: SparkSession, sf: str) -> DataFrame:
 )
 def browse_query(spark: SparkSession, sf: str) -> DataFrame:
     path = work_folder(spark, "directory")
-    write_directory(employer_directory(_edges(spark, sf)), path)
+    write_directory(employer_directory(_stored_edges(spark, sf)), path)
     return browse(spark.read.parquet(path), "10+", "S").select(
         "npi", "group_name_npi", "employee_cnt", "category", "initial"
     )

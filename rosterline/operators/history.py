@@ -72,29 +72,34 @@ def islands(days: Column, gap_days: int) -> Column:
     return F.arrays_zip(firsts.alias("s"), lasts.alias("e"))
 
 
-def slot_intervals(
-    df: DataFrame,
+def array_intervals(
+    df: DataFrame, key: str, slots: str, date: str, gap_days: int = GAP_DAYS
+) -> DataFrame:
+    """``key, slots, dt_s, dt_e``: histories of whole arrays, nulls left out.
+
+    Most snapshots repeat the array of the one before, so this is far smaller than its input.
+    """
+    return se_intervals(df.where(F.col(slots).isNotNull()), [key, slots], date, gap_days)
+
+
+def entry_intervals(
+    runs: DataFrame,
     key: str,
     slots: str,
-    date: str,
     values: dict[str, Column],
     gap_days: int = GAP_DAYS,
     start: str = "dt_s",
     end: str = "dt_e",
 ) -> DataFrame:
-    """Histories of the entries of an array column; ``values`` are taken from ``_slot``.
+    """Histories of the entries of arrays out of ``array_intervals``; ``values`` are of ``_slot``.
 
-    Most snapshots repeat the array of the one before. So first each whole array gets its
-    intervals, and only the few distinct arrays are exploded; the intervals of one entry in
-    different arrays are merged after that. Runs of a union are the merged runs of its parts, so
-    this equals exploding every snapshot, with a fraction of the rows.
+    Only the few distinct arrays of a key are exploded; the intervals of one entry in different
+    arrays are merged after that. Runs of a union are the merged runs of its parts, so this
+    equals exploding every snapshot, with a fraction of the rows.
     """
-    whole = se_intervals(
-        df.where(F.col(slots).isNotNull()), [key, slots], date, gap_days, start, end
-    )
-    entries = whole.select(key, start, end, F.explode(slots).alias("_slot")).select(
-        key, start, end, *[value.alias(name) for name, value in values.items()]
-    )
+    entries = runs.select(
+        key, F.col("dt_s").alias(start), F.col("dt_e").alias(end), F.explode(slots).alias("_slot")
+    ).select(key, start, end, *[value.alias(name) for name, value in values.items()])
     return merge_intervals(entries, [key, *values], start, end, gap_days)
 
 

@@ -13,6 +13,7 @@ from rosterline.operators.affiliations import (
     employer_directory,
     employer_roster,
 )
+from rosterline.operators.fold import TAXONOMIES
 from rosterline.operators.payments import all_payments, payments_by_provider
 from rosterline.operators.places import (
     address_cells,
@@ -23,12 +24,13 @@ from rosterline.operators.places import (
 from rosterline.operators.rollups import also_known_as, clinician_facts, optout_dates, token_list
 from rosterline.operators.snapshots import latest_partition
 from rosterline.plans.histories import (
+    array_runs,
     endpoint_se,
-    license_se,
+    license_se_of,
     otherid_se,
     othername_se,
     pl_se,
-    taxonomy_se,
+    taxonomy_se_of,
 )
 from rosterline.plans.profile import profile_base, profile_continuations, provider_profile
 from rosterline.session import staged
@@ -59,12 +61,16 @@ class OutsideTables:
 
 
 def history_tables(tables: RegistryTables) -> dict[str, DataFrame]:
-    """All start-end tables, by the name of their list column in the profile."""
+    """All start-end tables, by the name of their list column in the profile.
+
+    Taxonomies and licences come from the same arrays, whose histories are made once.
+    """
+    runs = staged(array_runs(tables.npidata, TAXONOMIES), "taxonomy-runs")
     return {
         "places": pl_se(tables.pl),
-        "taxonomies": taxonomy_se(tables.npidata, tables.taxonomy_lookup),
+        "taxonomies": taxonomy_se_of(runs, tables.taxonomy_lookup),
         "othernames": othername_se(tables.othername, tables.npidata),
-        "licenses": license_se(tables.npidata),
+        "licenses": license_se_of(runs),
         "endpoints": endpoint_se(tables.endpoint),
         "otherids": otherid_se(tables.npidata),
     }

@@ -16,14 +16,15 @@ from rosterline.functions.fixed import (
     SNAPSHOT_DATE,
 )
 from rosterline.functions.text import joined, or_empty, token
-from rosterline.operators.fold import OTHER_IDS, TAXONOMIES, unpack
+from rosterline.operators.fold import OTHER_IDS, TAXONOMIES, SlotGroup, unpack
 from rosterline.operators.history import (
     GAP_DAYS,
     apply_corrections,
+    array_intervals,
     code_label,
     code_lookup,
+    entry_intervals,
     se_intervals,
-    slot_intervals,
 )
 
 
@@ -39,6 +40,11 @@ def finish(df: DataFrame, prefix: str, values: list[str], token_col: str) -> Dat
     )
 
 
+def array_runs(npidata: DataFrame, group: SlotGroup, gap_days: int = GAP_DAYS) -> DataFrame:
+    """Histories of whole slot arrays, which the tables of single entries start from."""
+    return array_intervals(npidata, "npi", group.name, SNAPSHOT_DATE, gap_days)
+
+
 def otherid_se(npidata: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
     values = {
         "other_id": slot_field("identifier"),
@@ -46,23 +52,14 @@ def otherid_se(npidata: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
         "other_id_state": slot_field("state"),
         "other_id_issuer": slot_field("issuer"),
     }
-    return _otherid_finish(
-        slot_intervals(
-            npidata, "npi", OTHER_IDS.name, SNAPSHOT_DATE, values, gap_days,
-            "other_id_dt_s", "other_id_dt_e",
-        )
+    runs = entry_intervals(
+        array_runs(npidata, OTHER_IDS, gap_days), "npi", OTHER_IDS.name, values, gap_days,
+        "other_id_dt_s", "other_id_dt_e",
     )
-
-
-def _otherid_finish(runs: DataFrame) -> DataFrame:
     described = runs.where(F.col("other_id") != "").withColumn(
         "other_id_type_desc", code_label("other_id_type_code", OTHER_ID_TYPES)
     )
-    values = [
-        "other_id", "other_id_type_code", "other_id_state", "other_id_issuer",
-        "other_id_type_desc",
-    ]
-    return finish(described, "other_id", values, "other_id_token")
+    return finish(described, "other_id", [*values, "other_id_type_desc"], "other_id_token")
 
 
 def otherid_se_packed(
@@ -80,13 +77,22 @@ def taxonomy_se(
     npidata: DataFrame, taxonomy_lookup: DataFrame, gap_days: int = GAP_DAYS
 ) -> DataFrame:
     """A change of the primary switch starts a new interval."""
+    return taxonomy_se_of(array_runs(npidata, TAXONOMIES, gap_days), taxonomy_lookup, gap_days)
+
+
+def taxonomy_se_of(
+    runs: DataFrame, taxonomy_lookup: DataFrame, gap_days: int = GAP_DAYS
+) -> DataFrame:
+    """``taxonomy_se`` from the histories of whole taxonomy arrays."""
     values = {"taxonomy_code": slot_field("code"), "is_main": slot_field("primary_switch")}
-    runs = slot_intervals(
-        npidata, "npi", TAXONOMIES.name, SNAPSHOT_DATE, values, gap_days,
-        "taxonomy_dt_s", "taxonomy_dt_e",
+    entries = entry_intervals(
+        runs, "npi", TAXONOMIES.name, values, gap_days, "taxonomy_dt_s", "taxonomy_dt_e"
     )
     described = code_lookup(
-        runs.where(F.col("taxonomy_code") != ""), taxonomy_lookup, "taxonomy_code", "taxonomy_desc"
+        entries.where(F.col("taxonomy_code") != ""),
+        taxonomy_lookup,
+        "taxonomy_code",
+        "taxonomy_desc",
     )
     return finish(
         described, "taxonomy", ["taxonomy_code", "is_main", "taxonomy_desc"], "taxonomy_token"
@@ -95,17 +101,20 @@ def taxonomy_se(
 
 def license_se(npidata: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
     """The taxonomy of a licence is left out, so one licence on two slots is one value."""
+    return license_se_of(array_runs(npidata, TAXONOMIES, gap_days), gap_days)
+
+
+def license_se_of(runs: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
+    """``license_se`` from the histories of whole taxonomy arrays."""
     values = {
         "license_number": slot_field("license_number"),
         "license_state": slot_field("license_state"),
     }
-    runs = slot_intervals(
-        npidata, "npi", TAXONOMIES.name, SNAPSHOT_DATE, values, gap_days,
-        "license_dt_s", "license_dt_e",
+    entries = entry_intervals(
+        runs, "npi", TAXONOMIES.name, values, gap_days, "license_dt_s", "license_dt_e"
     )
     return finish(
-        runs.where(F.col("license_number") != ""),
-        "license", ["license_number", "license_state"], "license_token",
+        entries.where(F.col("license_number") != ""), "license", list(values), "license_token"
     )
 
 

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from rosterline.functions.fixed import OTHER_ID_CORRECTIONS
 from rosterline.operators.fold import OTHER_IDS, TAXONOMIES
-from rosterline.operators.history import merge_intervals, se_intervals, slot_intervals
+from rosterline.operators.history import (
+    array_intervals,
+    entry_intervals,
+    merge_intervals,
+    se_intervals,
+)
 from rosterline.plans.histories import (
     endpoint_se,
     license_se,
@@ -101,7 +106,8 @@ def test_slot_histories_equal_exploding_every_snapshot(spark, snapshots):
         f"npi string, d date, {OTHER_IDS.name} {ids}",
     )
     values = {"v": F.col("_slot.identifier")}
-    got = {tuple(r) for r in slot_intervals(df, "npi", OTHER_IDS.name, "d", values).collect()}
+    runs = array_intervals(df, "npi", OTHER_IDS.name, "d")
+    got = {tuple(r) for r in entry_intervals(runs, "npi", OTHER_IDS.name, values).collect()}
     seen: dict[tuple[str, str], set[int]] = {}
     for k, d, present in snapshots:
         for v in present:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as spark_entry
 from checks.frames import frame, npidata_with_slots, table
 from rosterline.operators.addresses import address_usage
 from rosterline.operators.history import se_intervals
@@ -15,25 +14,12 @@ from rosterline.operators.snapshots import latest_per_key
 from rosterline.plans.histories import license_se, otherid_se
 
 SF = "/root/testdata/sf0.001"
-WRITES = {
-    "append_snapshot", "read_latest_snapshot", "ingest_main_file", "ingest_side_files",
-    "ingest_deactivated", "header_schema", "incremental_load", "document_sink", "browse_directory", "lookup_by_key",
-    "colocation_lists", "cell_organisations", "located_providers", "provider_profile", "profile_continuations", "parse_batch_responses",
-}
 
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - WRITES))
-def test_no_python_workers_no_nested_loops(spark, name):
-    plan = plan_of(spark_entry.queries()[name](spark, SF))
-    for word in ("PythonUDF", "ArrowEval", "MapInPandas", "FlatMapGroups", "CartesianProduct",
-                 "BroadcastNestedLoopJoin"):
-        assert word not in plan
-
-
 def test_scans_read_the_columns_they_need(spark):
     days = table(spark, SF, "events").selectExpr("user_id", "event_type", "cast(ts as date) d")
     plan = plan_of(se_intervals(days, ["user_id", "event_type"], "d"))
