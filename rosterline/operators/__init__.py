@@ -1 +1 @@
-"""DataFrame -> DataFrame operators; none of them runs an action."""
+"""DataFrame -> DataFrame operators; they run no action but for ``joins.has_crowded_keys``."""

@@ -14,6 +14,7 @@ from rosterline.operators.affiliations import (
     employer_roster,
 )
 from rosterline.operators.fold import TAXONOMIES
+from rosterline.operators.joins import has_crowded_keys
 from rosterline.operators.payments import all_payments, payments_by_provider
 from rosterline.operators.places import (
     address_cells,
@@ -149,7 +150,8 @@ def profile_flow(
     first = profile_lists(histories, outside, edges, first_only=True)
     every = profile_lists(histories, outside, edges, first_only=False)
     base = staged(profile_base(tables.npidata), "base")
-    return provider_profile(base, facts, first), profile_continuations(every)
+    crowded = has_crowded_keys(base, ["npi"])
+    return provider_profile(base, facts, first, crowded), profile_continuations(every)
 
 
 def directory_flow(outside: OutsideTables) -> DataFrame:

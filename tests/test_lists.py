@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators.joins import lookup_join
+from rosterline.operators.joins import has_crowded_keys, lookup_join
 from rosterline.operators.lists import first_n, hot_keys, list_parts, multiset_parts, set_parts
 
 MAX = 50
@@ -100,5 +100,6 @@ def test_lookup_join_equals_a_left_join_with_and_without_crowded_keys(spark, ske
     other = spark.createDataFrame([("h", "x"), ("k3", "y")], "key string, b string")
     plain = left.join(lookup, "key", "left").join(other, "key", "left")
     safe = lookup_join(left, [lookup, other], ["key"], crowd=crowd)
+    assert has_crowded_keys(left, ["key"], crowd) == (crowd == 100)
     assert safe.columns == plain.columns
     assert Counter(map(tuple, safe.collect())) == Counter(map(tuple, plain.collect()))
