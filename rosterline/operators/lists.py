@@ -41,7 +41,7 @@ def with_part(
     max_items: int = MAX_ITEMS,
     max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Add ``part``: 0 for ordinary keys, spread by the item's hash for hot ones (with ``_load``).
+    """Add ``part`` (0 for ordinary keys, spread by the item's hash for hot ones) and ``_load``.
 
     The hash makes the part a function of the row, so a recomputed task places it alike.
     """

@@ -55,7 +55,10 @@ def change_frequency(
     )
     if date_col in columns:
         dates = typed.select(
-            kind, key, F.lit(date_col).alias("colname"), F.col(date_col).cast("string").alias("value")
+            kind,
+            key,
+            F.lit(date_col).alias("colname"),
+            F.col(date_col).cast("string").alias("value"),
         )
         changes = changes.unionByName(dates)
     per_key = changes.distinct().groupBy(kind, key, "colname").agg(F.count("value").alias("_n"))
