@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from checks.frames import TABLES
+from checks.registry import ORACLE, QUERIES
 from checks.verify import rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -28,7 +29,7 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_has_rows(spark):
@@ -36,10 +37,10 @@ def test_entry_has_rows(spark):
     assert spark_entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    df = spark_entry.queries()[name](spark, SF)
-    cursor = db.execute(spark_entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    cursor = db.execute(ORACLE[name])
     want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
     plan = df._jdf.queryExecution().executedPlan().toString()
