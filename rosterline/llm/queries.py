@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import bpe, decontaminate, token_counts
+from rosterline.llm import bpe, decontaminate, fingerprints, language, quality, token_counts
+from rosterline.llm.common import input_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,52 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    trees = language.learn(docs.where(~language.held_out("doc_id", 4, 2)))
+    found = language.identify(docs, trees)
+    return found.withColumn("held_out", language.held_out("doc_id", 4, 2))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    pairs = fingerprints.with_next(docs, "doc_id", "text", input_bytes(docs))
+    texts = pairs.select(
+        F.col("id").alias("doc_id"),
+        "text",
+        "next_text",
+        fingerprints.half_replaced(F.col("text"), F.col("next_text")).alias("edited_text"),
+        F.length("text").cast("long").alias("n_chars"),
+    ).withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256))
+    found = fingerprints.fingerprints(
+        texts,
+        keep=("doc_id", "n_chars", "edited_sha256"),
+        against=("edited_text", "next_text"),
+    )
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        F.col("fingerprint_edited_text").alias("edited_fingerprint"),
+        F.col("likeness_edited_text").alias("near_edited"),
+        F.col("likeness_next_text").alias("near_next"),
+    )
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learned = labels.where(~language.held_out("doc_id", 3, 1))
+    found = quality.score(docs, quality.fit(docs, learned))
+    return found.select(
+        "doc_id",
+        language.held_out("doc_id", 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir))
 
@@ -82,6 +129,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_language_id": op7_language_id,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
 }
 
