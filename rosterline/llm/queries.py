@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import bpe, decontaminate, fingerprints, language, quality, token_counts
+from rosterline.llm import bpe, decontaminate, fingerprints, language, licenses, quality, token_counts
 from rosterline.llm.common import input_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,38 @@ FROM doc LEFT JOIN word USING (r) LEFT JOIN names USING (r)
 """
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(_documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_matches",
+        F.array_join("licenses", ",").alias("licenses"),
+        F.array_join("whole_text", ",").alias("whole_text"),
+    )
+
+
+OP4_SQL = f"""
+WITH known AS (
+  SELECT DISTINCT license_id, replace({licenses.canonical_sql("text")}, chr(10), ' ') AS unit
+  FROM (VALUES {licenses.known_sql()}) AS t(license_id, text)),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id, {licenses.canonical_sql("coalesce(text, '')")} AS form
+  FROM documents),
+unit AS (
+  SELECT r, replace(form, chr(10), ' ') AS unit, 1 AS entire FROM doc WHERE form <> ''
+  UNION ALL SELECT r, unnest(string_split(form, chr(10))), 0 FROM doc WHERE form <> ''),
+hit AS (SELECT r, entire, license_id FROM unit JOIN known USING (unit)),
+per AS (
+  SELECT r, count(*) AS n_matches,
+    string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS licenses,
+    string_agg(DISTINCT license_id, ',' ORDER BY license_id) FILTER (entire = 1) AS whole_text
+  FROM hit GROUP BY r)
+SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses,
+  coalesce(whole_text, '') AS whole_text
+FROM doc LEFT JOIN per USING (r)
+"""
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe.decode(bpe.encode(_documents(spark, sf_dir)))
     return decoded.select(
@@ -128,6 +160,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op4_license_scan": op4_license_scan,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_language_id": op7_language_id,
     "op8_fingerprints": op8_fingerprints,
@@ -137,4 +170,5 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
+    "op4_license_scan": OP4_SQL,
 }
