@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import bpe, decontaminate, fingerprints, language, licenses, quality, token_counts
+from rosterline.llm import (
+    bpe,
+    decontaminate,
+    fingerprints,
+    language,
+    licenses,
+    near_duplicates,
+    quality,
+    token_counts,
+)
 from rosterline.llm.common import input_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +105,11 @@ FROM doc LEFT JOIN per USING (r)
 """
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(_documents(spark, sf_dir))
+    return found.select("doc_id", "class_id")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe.decode(bpe.encode(_documents(spark, sf_dir)))
     return decoded.select(
@@ -161,6 +175,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_license_scan": op4_license_scan,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_language_id": op7_language_id,
     "op8_fingerprints": op8_fingerprints,
