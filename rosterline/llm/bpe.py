@@ -32,10 +32,10 @@ from rosterline.llm.common import CHUNK_CHARS, chunks, map_texts, text_of
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 #: Characters of the texts whose distinct pieces go through one replay.
-SHARD_CHARS = 16_000_000
+SHARD_CHARS = 4_000_000
 
 #: Pieces whose ids a worker remembers; when there are more, it begins anew.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 #: Pieces of a text that are held at once.
 PIECES_AT_ONCE = 200_000
@@ -77,10 +77,10 @@ class MergeReplay:
         """The ids of all pieces, one after the other, and the number of ids of each."""
         token, sizes = self._singles(pieces)
         size = len(token)
-        word = np.append(np.repeat(np.arange(len(pieces)), sizes), -1)
+        word = np.append(np.repeat(np.arange(len(pieces), dtype=np.int32), sizes), np.int32(-1))
         token = np.append(token, -1)
-        after = np.append(np.arange(1, size + 1), size)
-        before = np.arange(-1, size)
+        after = np.append(np.arange(1, size + 1, dtype=np.int32), np.int32(size))
+        before = np.arange(-1, size, dtype=np.int32)
         places: dict[int, list[np.ndarray]] = {}
         queue: list[int] = []
 
