@@ -13,8 +13,10 @@ from rosterline.llm import (
     fingerprints,
     language,
     licenses,
+    line_dedup,
     near_duplicates,
     quality,
+    substring_dedup,
     token_counts,
 )
 from rosterline.llm.common import input_bytes
@@ -26,6 +28,19 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select(
+        "doc_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines")
+    )
+    kept = line_dedup.without_copies(docs)
+    return kept.select(
+        "doc_id",
+        F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_windows(
         _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -73,6 +88,38 @@ FROM doc LEFT JOIN word USING (r) LEFT JOIN names USING (r)
 """
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+OP3_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS s
+  FROM doc, unnest(range(1, len(w) - 48)) AS t(i) WHERE len(w) >= 50),
+least_id AS (SELECT s, min(doc_id) AS least_id FROM win GROUP BY s),
+gone AS (
+  SELECT DISTINCT r, p FROM (
+    SELECT r, i FROM win JOIN least_id USING (s) WHERE doc_id > least_id) AS hit,
+    unnest(range(i, i + 50)) AS t(p)),
+word AS (
+  SELECT doc.r, u.p, w[u.p] AS word FROM doc, unnest(range(1, len(w) + 1)) AS u(p)
+  ANTI JOIN gone ON doc.r = gone.r AND u.p = gone.p),
+left_over AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM word GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM doc LEFT JOIN left_over USING (r)
+"""
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.find_licenses(_documents(spark, sf_dir))
     return found.select(
@@ -173,7 +220,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_byte_bpe": op6_byte_bpe,
@@ -185,5 +234,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
+    "op3_substring_dedup": OP3_SQL,
     "op4_license_scan": OP4_SQL,
 }
