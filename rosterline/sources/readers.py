@@ -12,7 +12,7 @@ from rosterline.functions.dates import parse_us_date
 from rosterline.functions.fixed import SNAPSHOT_DATE, UNINFORMATIVE_COLUMNS
 from rosterline.functions.text import null_if_blank, strip
 from rosterline.operators.fold import fold_repeated_groups, folded_sources
-from rosterline.sources.headers import header_schema, paths_by_header
+from rosterline.sources.headers import files_by_header, header_schema
 from rosterline.sources.manifest import path_snapshot_date
 
 # Quotes inside quoted fields are doubled in all registry files.
@@ -23,18 +23,20 @@ def read_csv_files(
     spark: SparkSession,
     paths: Iterable[str],
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """All files (or folders of part files) as text plus the snapshot date in their names.
 
-    Files with the same header are one scan; ``shape`` runs on each such scan before the
-    scans are put together by name, a column that a file lacks being null.
-    ``multi_line`` is for files with line breaks inside quotes: such a file cannot be split.
+    Files with the same header are one scan, whatever folder they are in; ``shape`` runs on each
+    such scan before the scans are put together by name, a column that a file lacks being null.
+    A file with line breaks inside quotes cannot be split: by default such files are found by a
+    scan of their text and read whole, each in one task, and all others are split. ``multi_line``
+    saves that scan if it is known.
     """
     parts = []
-    for header, group in paths_by_header(spark, paths, **CSV_OPTIONS).items():
+    for (header, whole), group in files_by_header(spark, paths, multi_line).items():
         raw = (
-            spark.read.options(header=True, multiLine=multi_line, **CSV_OPTIONS)
+            spark.read.options(header=True, multiLine=whole, **CSV_OPTIONS)
             .schema(header_schema(header, date_suffix=None))
             .csv(group)
         )
@@ -68,13 +70,13 @@ def shape_main(df: DataFrame) -> DataFrame:
 
 
 def read_main_files(
-    spark: SparkSession, paths: Iterable[str], multi_line: bool = False
+    spark: SparkSession, paths: Iterable[str], multi_line: bool | None = None
 ) -> DataFrame:
     return read_csv_files(spark, paths, shape_main, multi_line)
 
 
 def read_side_files(
-    spark: SparkSession, paths: Iterable[str], multi_line: bool = False
+    spark: SparkSession, paths: Iterable[str], multi_line: bool | None = None
 ) -> DataFrame:
     """Endpoint, other-name or secondary-location files: every column stays text."""
     return read_csv_files(spark, paths, multi_line=multi_line)

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from rosterline.functions.fixed import SNAPSHOT_DATE
 
 
+#: Folder with the names of loaded files; readers of the store pass over names like this.
+FILES = "_files"
+
+
 def append_snapshot(
     df: DataFrame, path: str, date: dt.date | None = None, date_col: str = SNAPSHOT_DATE
 ) -> None:
@@ -60,15 +64,34 @@ def read_latest(spark: SparkSession, path: str, date_col: str = SNAPSHOT_DATE) -
     return read_store(spark, path, date_col).where(F.col(date_col) == F.lit(newest))
 
 
+def loaded_files(spark: SparkSession, path: str) -> dict[str, dt.date]:
+    """Files that the store has taken in, with their dates: a small table beside the dates."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{FILES}")
+    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        return {}
+    rows = spark.read.schema(f"path string, `{SNAPSHOT_DATE}` date").parquet(f"{path}/{FILES}")
+    return {row[0]: row[1] for row in rows.collect()}
+
+
 def ingest_pending(
     spark: SparkSession,
     path: str,
     files: dict[str, dt.date],
     read: Callable[[SparkSession, list[str]], DataFrame],
 ) -> list[str]:
-    """Load those of ``files`` (path -> snapshot date) whose date the store lacks."""
-    done = set(snapshot_dates(spark, path))
-    todo = sorted(p for p, date in files.items() if date not in done)
+    """Load those of ``files`` (path -> snapshot date) that the store has not taken in yet.
+
+    A date is replaced as a whole: with a new file, the files of its date that were loaded before
+    are read again, so it makes no difference in how many calls they come. A file that is gone by
+    then fails the load instead of losing its rows. The list of files is written last: a call that
+    broke off is done again.
+    """
+    known = loaded_files(spark, path)
+    todo = {p: date for p, date in files.items() if p not in known}
     if todo:
-        append_snapshot(read(spark, todo), path)
-    return todo
+        dates = set(todo.values())
+        every = [p for p, date in {**known, **files}.items() if date in dates]
+        append_snapshot(read(spark, sorted(every)), path)
+        rows = spark.createDataFrame(sorted(todo.items()), f"path string, `{SNAPSHOT_DATE}` date")
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/{FILES}")
+    return sorted(todo)

@@ -1,7 +1,8 @@
 """New files in a landing folder into a snapshot store, each file once.
 
 The checkpoint remembers which files are done; a batch that is run again after a failure
-replaces the dates it wrote, so nothing is loaded twice.
+replaces the dates it wrote, so nothing is loaded twice. A date is always written with all its
+files, also those of other batches and of earlier calls.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.sources.store import append_snapshot
+from rosterline.functions.fixed import SNAPSHOT_DATE
+from rosterline.sources.manifest import path_snapshot_date
+from rosterline.sources.store import ingest_pending
 
 # Columns of Spark's binaryFile source.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -27,13 +30,17 @@ def load_new_files(
     """Load all files that have come in since the last call, then return.
 
     The stream itself carries file names only; ``read`` opens them as one distributed scan per
-    header. All files of one snapshot date have to arrive together.
+    header. Files of one snapshot date may come in any number of batches and calls: the first
+    batch that has one of them takes all that are in the folder, and a late file makes its date be
+    loaded again. Files have to stay in the folder as long as late ones may come.
     """
+    date = path_snapshot_date("path").alias(SNAPSHOT_DATE)
 
     def load(batch: DataFrame, _: int) -> None:
-        paths = [row.path for row in batch.collect()]
-        if paths:
-            append_snapshot(read(spark, paths), store)
+        dates = batch.select(date).distinct()
+        here = spark.read.format("binaryFile").schema(FILE_SCHEMA).load(folder).select("path", date)
+        files = {row[0]: row[1] for row in here.join(dates, SNAPSHOT_DATE).select("path", SNAPSHOT_DATE).collect()}
+        ingest_pending(spark, store, files, read)
 
     arrivals = (
         spark.readStream.format("binaryFile")

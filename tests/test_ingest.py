@@ -80,7 +80,7 @@ def test_side_files_with_line_breaks_and_doubled_quotes(spark, tmp_path, rows):
               ["1", 'say "hi"'], ["2", "two\nlines"])
     b = write(tmp_path / "endpoint_pfile_20050523-20240107.csv",
               ["NPI", "Endpoint Type", "Endpoint"], ["3", "X", "03/04/2020"])
-    df = read_side_files(spark, [a, b], multi_line=True)
+    df = read_side_files(spark, [a, b])
     assert rows(df, "npi", "endpoint_type", "endpoint", "_input_file_date") == [
         ("1", None, 'say "hi"', OLD), ("2", None, "two\nlines", OLD), ("3", "X", "03/04/2020", NEW)
     ]
@@ -149,3 +149,45 @@ def test_new_files_are_picked_up_once(spark, tmp_path, rows):
     assert rows(read_store(spark, store), "npi", "city", "state", "_input_file_date") == [
         ("1", "A", None, OLD), ("1", "B", "MA", NEW)
     ]
+
+
+def test_part_files_of_a_date_in_several_batches(spark, tmp_path, rows):
+    """Four files of one date, one file a batch; then a late file of that date."""
+    landing = tmp_path / "landing" / "pl_pfile_20050523-20191208"
+    landing.mkdir(parents=True)
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "checkpoint")
+
+    def load():
+        load_new_files(
+            spark, str(tmp_path / "landing" / "*"), store, checkpoint, read_side_files, 1
+        )
+
+    for part in range(4):
+        write(landing / f"part-{part}.csv", ["NPI", "City"], *[[f"{part}-{i}", "A"] for i in range(25)])
+    load()
+    assert read_store(spark, store).count() == 100
+    write(landing / "part-9.csv", ["City", "NPI"], ["B", "late"])
+    load()
+    load()
+    got = read_store(spark, store)
+    assert got.count() == 101
+    assert rows(got.where("npi = 'late'"), "city", "_input_file_date") == [("B", OLD)]
+
+
+def test_a_later_file_of_a_held_date_is_pending(spark, tmp_path, rows):
+    path = str(tmp_path / "store")
+    one = write(tmp_path / "pl_a_20191208.csv", ["NPI", "City"], ["1", "A"])
+    two = write(tmp_path / "pl_b_20191208.csv", ["NPI", "City"], ["2", "B"])
+    assert ingest_pending(spark, path, {one: OLD}, read_side_files) == [one]
+    assert ingest_pending(spark, path, {one: OLD, two: OLD}, read_side_files) == [two]
+    assert ingest_pending(spark, path, {two: OLD}, read_side_files) == []
+    assert rows(read_store(spark, path), "npi", "city") == [("1", "A"), ("2", "B")]
+
+
+def test_a_folder_of_two_headers(spark, tmp_path, rows):
+    folder = tmp_path / "endpoint_pfile_20050523-20191208"
+    folder.mkdir()
+    write(folder / "part-0.csv", ["NPI", "Endpoint"], ["1", "two\nlines"])
+    write(folder / "part-1.csv", ["Endpoint", "NPI"], ["x", "2"])
+    got = read_side_files(spark, [str(folder)])
+    assert rows(got, "npi", "endpoint") == [("1", "two\nlines"), ("2", "x")]
