@@ -253,11 +253,14 @@ def assign_cell_query(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", assign_cell(lat, lng, STEP).alias("cell"))
 
 
+# Items in a list that is compared as a whole.
+WHOLE = 1_000_000
+
 LOCATED_SQL = f"""
     SELECT npi, entity_type_code, name,
       CASE WHEN key_b NOT LIKE '%3-MEDIUM%' THEN cell END AS h3_b, cell AS h3_m
     FROM (SELECT *, {cell_sql("lat", "lng")} AS cell FROM {{located_rows}}
-          WHERE entity_type_code IS NOT NULL AND year(_input_file_date) = 2001) AS l"""
+          WHERE entity_type_code IS NOT NULL) AS l"""
 CELL_TOKEN = "concat_ws('^', npi, entity_type_code, name)"
 
 
@@ -266,8 +269,7 @@ def _located(spark: SparkSession, sf: str) -> DataFrame:
         "last_updated", F.lit("2024-01-01").cast("date")
     )
     cells = staged(address_cells(answers, STEP), "cells")
-    year = frame(spark, sf, "npidata").where(F.year("_input_file_date") == 2001)
-    return located_providers(staged(year, "npidata"), cells)
+    return located_providers(staged(frame(spark, sf, "npidata"), "npidata"), cells)
 
 
 @check("located_providers", LOCATED_SQL)
@@ -286,11 +288,27 @@ def located_providers_query(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def cell_organisations_query(spark: SparkSession, sf: str) -> DataFrame:
-    return cell_organisations(_located(spark, sf)).withColumn(
+    return cell_organisations(_located(spark, sf), max_items=WHOLE).withColumn(
         "npi_lst", F.array_join("npi_lst", ";")
     )
 
 
+@check(
+    "cell_organisations_parts",
+    f"""
+    SELECT side, cell, total, {CELL_TOKEN} AS token FROM (
+      SELECT *, count(*) OVER (PARTITION BY side, cell) AS total
+      FROM (SELECT *, 'b' AS side, h3_b AS cell FROM ({LOCATED_SQL}) AS b
+            UNION ALL SELECT *, 'm' AS side, h3_m AS cell FROM ({LOCATED_SQL}) AS m) AS s
+      WHERE entity_type_code = '2' AND cell IS NOT NULL) AS t
+    """,
+)
+def cell_organisations_parts_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts of ten: all parts of a cell together hold all its organisations."""
+    rows = cell_organisations(_located(spark, sf), max_items=10)
+    return rows.select("side", "cell", "total", F.explode("npi_lst").alias("token"))
+
+
 def cell_lists_sql(side: str) -> str:
     return f"""SELECT h3_{side}, count(*) AS npi_cnt_{side},
         string_agg({CELL_TOKEN}, ';' ORDER BY {CELL_TOKEN}) AS npi_lst_{side}
@@ -308,7 +326,8 @@ def cell_lists_sql(side: str) -> str:
 )
 def colocation_lists_query(spark: SparkSession, sf: str) -> DataFrame:
     located = staged(_located(spark, sf), "located")
-    lists = colocation_lists(located, staged(cell_organisations(located), "organisations"))
+    cells = staged(cell_organisations(located, max_items=WHOLE), "organisations")
+    lists = colocation_lists(located, cells)
     return lists.withColumns({c: F.array_join(c, ";") for c in ("npi_lst_b", "npi_lst_m")})
 
 

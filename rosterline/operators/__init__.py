@@ -1 +1 @@
-"""DataFrame -> DataFrame operators; they run no action but for ``joins.has_crowded_keys``."""
+"""DataFrame -> DataFrame operators; they run no action."""

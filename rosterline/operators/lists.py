@@ -7,30 +7,15 @@ Keys of ordinary size have part 0 only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ITEMS = 5_000
 MAX_HOT_KEYS = 100_000
-
-
-def hot_keys(
-    df: DataFrame,
-    keys: list[str],
-    weight: Column | None = None,
-    floor: int = MAX_ITEMS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """Keys heavier than ``floor`` and than 1/``max_keys`` of the whole, with their weight.
-
-    No more than ``max_keys`` keys can each hold over 1/``max_keys`` of the rows, so the result
-    may be broadcast whatever the input. It reads the key columns only and is pre-aggregated
-    before its shuffle.
-    """
-    load = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    loads = df.groupBy(*keys).agg(load.alias("_load"))
-    total = loads.agg(F.sum("_load")).scalar()
-    return loads.where((F.col("_load") > floor) & (F.col("_load") * F.lit(max_keys) > total))
+SALTS = 1_000
+RUNS_AT_ONCE = 10_000
 
 
 def with_part(
@@ -41,18 +26,44 @@ def with_part(
     max_items: int = MAX_ITEMS,
     max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Add ``part`` (0 for ordinary keys, spread by the item's hash for hot ones) and ``_load``.
+    """Add ``part`` (0 for ordinary keys, spread by the item's hash for longer ones) and ``_load``.
 
-    The hash makes the part a function of the row, so a recomputed task places it alike.
+    Every key with more than ``max_items`` items gets parts, also the null key; the hash makes
+    the part a function of the row, so a recomputed task places it alike. Of the keys with parts,
+    ``max_keys`` at most hold over 1/``max_keys`` of all items each: these are broadcast. The
+    others, however many, are joined by shuffle, in which no key is large any more: rows that
+    have their part already carry a salt, so that they spread and meet nothing.
     """
+    load = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    loads = df.groupBy(*keys).agg(load.alias("_load"))
     parts = (F.col("_load") / F.lit(max_items)).cast("bigint") + 1
-    hot = hot_keys(df, keys, weight, max_items, max_keys).select(*keys, "_load", parts.alias("_parts"))
-    spread = F.pmod(F.xxhash64(item), F.col("_parts")).cast("int")
-    return (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn("part", F.coalesce(spread, F.lit(0)))
-        .drop("_parts")
+    longer = loads.where(F.col("_load") > max_items).withColumn("_parts", parts)
+    share = F.col("_load") * F.lit(max_keys) > loads.agg(F.sum("_load")).scalar()
+
+    def placed(rows: DataFrame, side: DataFrame, name: str, hint: bool = False) -> DataFrame:
+        renamed = side.select(
+            *[F.col(k).alias(f"_key_{k}") for k in keys],
+            F.col("_load").alias(f"_load_{name}"),
+            F.col("_parts").alias(f"_parts_{name}"),
+            *([] if hint else [F.lit(0).alias("_key_salt")]),
+        )
+        same = [rows[k].eqNullSafe(renamed[f"_key_{k}"]) for k in keys]
+        if not hint:
+            same.append(rows["_salt"] == renamed["_key_salt"])
+        joined = rows.join(
+            F.broadcast(renamed) if hint else renamed, reduce(Column.__and__, same), "left"
+        )
+        return joined.drop(*[f"_key_{k}" for k in keys], "_key_salt")
+
+    few = placed(df, longer.where(share), "few", hint=True)
+    salt = F.when(F.col("_parts_few").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(item), F.lit(SALTS)).cast("int") + 1
     )
+    every = placed(few.withColumn("_salt", salt), longer.where(~share), "many")
+    spread = F.pmod(F.xxhash64(item), F.coalesce("_parts_few", "_parts_many")).cast("int")
+    return every.withColumns(
+        {"part": F.coalesce(spread, F.lit(0)), "_load": F.coalesce("_load_few", "_load_many")}
+    ).drop("_salt", "_load_few", "_load_many", "_parts_few", "_parts_many")
 
 
 def _gathered(
@@ -121,8 +132,12 @@ def multiset_parts(
     counted = df.groupBy(*keys, item.alias("_item")).agg(F.count(F.lit(1)).alias("_n"))
     last_run = F.floor((F.col("_n") - 1) / F.lit(run_length)).cast("bigint")
     left = F.col("_n") - F.col("_run") * F.lit(run_length)
+    # Runs are numbered in two steps, so that no array grows with the copies of one item.
+    first = F.sequence(F.lit(0).cast("bigint"), last_run, F.lit(RUNS_AT_ONCE).cast("bigint"))
+    upto = F.least(last_run, F.col("_first") + (RUNS_AT_ONCE - 1))
     runs = (
-        counted.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)).alias("_run"))
+        counted.select("*", F.explode(first).alias("_first"))
+        .select("*", F.explode(F.sequence("_first", upto)).alias("_run"))
         .withColumn("_n", F.least(F.lit(run_length), left).cast("int"))
     )
     entry = F.struct("_item", "_run", "_n")

@@ -14,7 +14,6 @@ from rosterline.operators.affiliations import (
     employer_roster,
 )
 from rosterline.operators.fold import TAXONOMIES
-from rosterline.operators.joins import has_crowded_keys
 from rosterline.operators.payments import all_payments, payments_by_provider
 from rosterline.operators.places import (
     address_cells,
@@ -146,12 +145,11 @@ def profile_flow(
         edges = staged(affiliation_edges(outside.reval, outside.pc_provider), "edges")
     facts = profile_facts(outside, edges)
     if neighbours is not None:
-        facts.append(neighbours.select("npi", "npi_lst_b", "npi_lst_m"))
+        facts.append(neighbours.drop("entity_type_code", "name"))
     first = profile_lists(histories, outside, edges, first_only=True)
     every = profile_lists(histories, outside, edges, first_only=False)
     base = staged(profile_base(tables.npidata), "base")
-    crowded = has_crowded_keys(base, ["npi"])
-    return provider_profile(base, facts, first, crowded), profile_continuations(every)
+    return provider_profile(base, facts, first), profile_continuations(every)
 
 
 def directory_flow(outside: OutsideTables) -> DataFrame:

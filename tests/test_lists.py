@@ -7,8 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators.joins import has_crowded_keys, lookup_join
-from rosterline.operators.lists import first_n, hot_keys, list_parts, multiset_parts, set_parts
+from rosterline.operators.joins import lookup_join
+from rosterline.operators.lists import first_n, list_parts, multiset_parts, set_parts
 
 MAX = 50
 
@@ -33,12 +33,23 @@ def expected(df):
     return Counter((r.key, r.item) for r in df.collect())
 
 
-def test_hot_keys_are_few_whatever_the_data(spark, skewed):
-    assert [(r.key, r["_load"]) for r in hot_keys(skewed, ["key"], floor=MAX).collect()] == [
-        ("h", 1000)
-    ]
-    assert hot_keys(skewed, ["key"], floor=0, max_keys=5).count() <= 5
-    assert hot_keys(skewed, ["key"], floor=5000).count() == 0
+@pytest.mark.parametrize("max_keys", [5, 100_000])
+def test_many_medium_keys_are_split(spark, max_keys):
+    """60 keys of 200 items and the null key, none above a fifth of the rows."""
+    key = F.when(F.col("id") % 61 < 60, F.concat(F.lit("k"), F.col("id") % 61))
+    df = spark.range(61 * 200).select(key.alias("key"), F.col("id").cast("string").alias("item"))
+    for gather in (list_parts, set_parts, multiset_parts):
+        parts = gather(df, ["key"], F.col("item"), "out", 10, max_keys)
+        assert gathered(parts) == expected(df)
+        rows = parts.collect()
+        assert {r.total for r in rows} == {200}
+        assert max(len(r.out) for r in rows) < 30 and {r.part for r in rows} == set(range(21))
+
+
+def test_copies_of_one_item_in_many_runs(spark):
+    df = spark.range(25_000).select(F.lit(None).cast("string").alias("key"), F.lit("x").alias("item"))
+    parts = multiset_parts(df, ["key"], F.col("item"), "out", 1)
+    assert parts.agg(F.sum(F.size("out")), F.max(F.size("out")) < 20).first() == (25_000, True)
 
 
 def test_list_parts_are_whole_and_small(spark, skewed):
@@ -93,13 +104,18 @@ def test_first_n_counts_all_and_shows_n(spark, skewed):
     assert hot.cnt == 601 and hot.out == members[:40]
 
 
-@pytest.mark.parametrize("crowd", [100, 10**9])
-def test_lookup_join_equals_a_left_join_with_and_without_crowded_keys(spark, skewed, crowd):
-    left = skewed.withColumn("key", F.when(F.col("key") != "k7", F.col("key")))
+def test_lookup_join_equals_a_left_join_and_reads_each_table_once(spark, skewed, tmp_path):
+    nulls = skewed.withColumn("key", F.when(F.col("key") != "k7", F.col("key")))
     lookup = spark.createDataFrame([("h", 1), ("k1", 2), ("k2", 3)], "key string, a int")
     other = spark.createDataFrame([("h", "x"), ("k3", "y")], "key string, b string")
+    tables = []
+    for name, df in (("left", nulls), ("lookup", lookup), ("other", other)):
+        df.write.parquet(str(tmp_path / name))
+        tables.append(spark.read.parquet(str(tmp_path / name)))
+    left, *rights = tables
     plain = left.join(lookup, "key", "left").join(other, "key", "left")
-    safe = lookup_join(left, [lookup, other], ["key"], crowd=crowd)
-    assert has_crowded_keys(left, ["key"], crowd) == (crowd == 100)
+    safe = lookup_join(left, rights, ["key"])
     assert safe.columns == plain.columns
     assert Counter(map(tuple, safe.collect())) == Counter(map(tuple, plain.collect()))
+    plan = safe._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 3
