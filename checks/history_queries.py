@@ -14,6 +14,7 @@ from rosterline.plans.histories import (
     endpoint_se,
     license_se,
     otherid_se,
+    otherid_rejects,
     otherid_se_packed,
     othername_se,
     pl_se,
@@ -140,37 +141,53 @@ def se_intervals_45_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
+WRONG_SQL = " ".join(
+    f"WHEN {i} THEN '{wrong}'" for i, (_, wrong, _) in enumerate(OTHER_ID_CORRECTIONS)
+)
+RIGHT_SQL = " ".join(
+    f"WHEN npi = '{npi}' AND packed = '{wrong}' THEN '{right}'"
+    for npi, wrong, right in OTHER_ID_CORRECTIONS
+)
+NPI_SQL = " ".join(f"WHEN {i} THEN '{npi}'" for i, (npi, _, _) in enumerate(OTHER_ID_CORRECTIONS))
+
+
 @check(
     "apply_corrections",
     f"""
-    SELECT o_orderkey, npi, CASE
-      WHEN npi = '{OTHER_ID_CORRECTIONS[0][0]}' AND o_orderstatus = 'F'
-        THEN '{OTHER_ID_CORRECTIONS[0][2]}'
-      WHEN o_orderstatus = 'F' THEN '{OTHER_ID_CORRECTIONS[0][1]}'
-      WHEN npi = '{OTHER_ID_CORRECTIONS[1][0]}' AND o_orderstatus = 'O'
-        THEN '{OTHER_ID_CORRECTIONS[1][2]}'
-      WHEN o_orderstatus = 'O' THEN '{OTHER_ID_CORRECTIONS[1][1]}' END AS packed
-    FROM (SELECT o_orderkey, o_orderstatus, CASE o_orderpriority
-            WHEN '1-URGENT' THEN '{OTHER_ID_CORRECTIONS[0][0]}'
-            WHEN '2-HIGH' THEN '{OTHER_ID_CORRECTIONS[1][0]}'
-            ELSE CAST(o_custkey AS varchar) END AS npi FROM orders) AS o
+    SELECT o_orderkey, npi, CASE {RIGHT_SQL} ELSE packed END AS packed FROM (
+      SELECT o_orderkey,
+        CASE o_custkey % 5 {NPI_SQL} ELSE CAST(o_custkey AS varchar) END AS npi,
+        CASE o_orderkey % {len(OTHER_ID_CORRECTIONS)} {WRONG_SQL} END AS packed
+      FROM orders) AS o
     """,
 )
 def apply_corrections_query(spark: SparkSession, sf: str) -> DataFrame:
-    first, second = OTHER_ID_CORRECTIONS[:2]
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-    npi = (
-        F.when(priority == "1-URGENT", F.lit(first[0]))
-        .when(priority == "2-HIGH", F.lit(second[0]))
-        .otherwise(F.col("o_custkey").cast("string"))
-    )
-    packed = F.when(status == "F", F.lit(first[1])).when(status == "O", F.lit(second[1]))
+    """Every listed provider with its own and with the others' wrong values."""
+    providers = F.array(*[F.lit(npi) for npi, _, _ in OTHER_ID_CORRECTIONS])
+    wrong = F.array(*[F.lit(text) for _, text, _ in OTHER_ID_CORRECTIONS])
     rows = table(spark, sf, "orders").select(
-        "o_orderkey", npi.alias("npi"), packed.alias("packed")
+        "o_orderkey",
+        F.coalesce(
+            F.get(providers, (F.col("o_custkey") % 5).cast("int")),
+            F.col("o_custkey").cast("string"),
+        ).alias("npi"),
+        F.get(wrong, (F.col("o_orderkey") % len(OTHER_ID_CORRECTIONS)).cast("int")).alias("packed"),
     )
     return apply_corrections(rows, "npi", "packed")
 
 
+@check(
+    "otherid_rejects",
+    """SELECT npi, _input_file_date, o_orderkey || '^05^MI^X^Y' AS slot
+       FROM {npidata} WHERE o_orderkey % 3 = 0""",
+)
+def otherid_rejects_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Packed identifiers of which some have a field too many."""
+    bad = F.when(F.col("o_orderkey") % 3 == 0, F.concat("o_orderkey", F.lit("^05^MI^X^Y")))
+    packed = F.concat_ws("|", pack(OTHER_IDS.name, OTHER_IDS), bad)
+    return otherid_rejects(npidata_with_slots(spark, sf).withColumn(OTHER_IDS.name, packed))
+
+
 @check(
     "code_lookup",
     f"""

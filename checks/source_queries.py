@@ -354,6 +354,30 @@ def incremental_load_query(spark: SparkSession, sf: str) -> DataFrame:
     return read_store(spark, store).select("npi", "endpoint_type", "endpoint", "_input_file_date")
 
 
+@check(
+    "incremental_load_parts",
+    """SELECT npi, endpoint_type, endpoint, CASE WHEN year(_input_file_date) >= 1998
+         THEN DATE '2001-12-31' ELSE DATE '1997-12-31' END AS _input_file_date FROM {endpoint}""",
+)
+def incremental_load_parts_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Several part files of each date, two files a batch, and a late file of a loaded date."""
+    rows = frame(spark, sf, "endpoint")
+    recent = F.year("_input_file_date") >= 1998
+    late = F.pmod(F.xxhash64("npi"), F.lit(7)) == 0
+    folder = work_folder(spark, "landing")
+    store, checkpoint = f"{folder}/store", f"{folder}/checkpoint"
+
+    def arrive(arrived: DataFrame, name: str) -> None:
+        shown = arrived.drop("_input_file_date").repartition(5, "npi")
+        _csv_folder(shown, f"{folder}/in", name)
+        load_new_files(spark, f"{folder}/in/*", store, checkpoint, read_side_files, 2)
+
+    arrive(rows.where(~recent & ~late), "endpoint_pfile_20050523-19971231")
+    arrive(rows.where(recent), "endpoint_pfile_20050523-20011231")
+    arrive(rows.where(~recent & late), "endpoint_late_20050523-19971231")
+    return read_store(spark, store).select("npi", "endpoint_type", "endpoint", "_input_file_date")
+
+
 @check("stored_slots_round_trip", FOLDED_SQL)
 def stored_slots_query(spark: SparkSession, sf: str) -> DataFrame:
     """Slot arrays of the snapshot rows packed for export; the store keeps primary slots first."""

@@ -16,7 +16,7 @@ from rosterline.functions.fixed import (
     SNAPSHOT_DATE,
 )
 from rosterline.functions.text import joined, or_empty, token
-from rosterline.operators.fold import OTHER_IDS, TAXONOMIES, SlotGroup, unpack
+from rosterline.operators.fold import OTHER_IDS, TAXONOMIES, SlotGroup, malformed_slots, unpack
 from rosterline.operators.history import (
     GAP_DAYS,
     apply_corrections,
@@ -65,7 +65,10 @@ def otherid_se(npidata: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
 def otherid_se_packed(
     npidata: DataFrame, packed: str = OTHER_IDS.name, gap_days: int = GAP_DAYS
 ) -> DataFrame:
-    """``otherid_se`` of packed text, listed wrong values put right before it is split."""
+    """``otherid_se`` of packed text, listed wrong values put right before it is split.
+
+    Slots with another number of fields have no columns to go to: see ``otherid_rejects``.
+    """
     right = apply_corrections(npidata.select("npi", packed, SNAPSHOT_DATE), "npi", packed)
     return otherid_se(
         right.select("npi", unpack(packed, OTHER_IDS).alias(OTHER_IDS.name), SNAPSHOT_DATE),
@@ -73,6 +76,13 @@ def otherid_se_packed(
     )
 
 
+def otherid_rejects(npidata: DataFrame, packed: str = OTHER_IDS.name) -> DataFrame:
+    """``npi``, snapshot date and ``slot``: what ``otherid_se_packed`` cannot split, row by row."""
+    right = apply_corrections(npidata.select("npi", packed, SNAPSHOT_DATE), "npi", packed)
+    slots = F.explode(malformed_slots(packed, OTHER_IDS))
+    return right.select("npi", SNAPSHOT_DATE, slots.alias("slot"))
+
+
 def taxonomy_se(
     npidata: DataFrame, taxonomy_lookup: DataFrame, gap_days: int = GAP_DAYS
 ) -> DataFrame:
