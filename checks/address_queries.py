@@ -36,9 +36,11 @@ STEP = cell_step()
 
 def cell_sql(lat: str, lng: str, step: float = STEP) -> str:
     side = f"CAST('{step!r}' AS double)"
+    row = f"CAST(floor(({lat} + 90) / {side}) AS bigint)"
+    cosine = f"greatest(cos(radians(({row} + CAST('0.5' AS double)) * {side} - 90)), CAST('0.01' AS double))"
     return (
-        f"CAST(CAST(floor(({lat} + 90) / {side}) AS bigint) AS string) || ':' || "
-        f"CAST(CAST(floor(({lng} + 180) / {side}) AS bigint) AS string)"
+        f"CAST({row} AS string) || ':' || "
+        f"CAST(CAST(floor(({lng} + 180) / ({side} / {cosine})) AS bigint) AS string)"
     )
 
 

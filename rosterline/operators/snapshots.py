@@ -23,13 +23,32 @@ def latest_per_key(
 ) -> DataFrame:
     """Rows of each key's newest date among rows with a ``kind``; ties are kept.
 
-    The newest dates are found on two narrow columns, pre-aggregated. Joining them back streams
-    the wide rows past one row per key, so copies of one key may be split among tasks.
+    Most keys are in the newest snapshot: their rows are told by date and ``kind`` alone and meet
+    no join. The newest dates of the other keys come from two narrow columns, pre-aggregated, and
+    only rows of older snapshots are held against them; Spark broadcasts these keys if they are
+    few. Rows without a kind in the newest snapshot stay if their key has one with a kind there.
     """
-    typed = df if kind is None else df.where(F.col(kind).isNotNull())
+    has_kind = F.lit(True) if kind is None else F.col(kind).isNotNull()
+    typed = df.where(has_kind)
+    last = typed.agg(F.max(date_col).alias("last")).scalar()
     newest = typed.groupBy(key).agg(F.max(date_col).alias(date_col))
     wanted = df if columns is None else df.select(*dict.fromkeys([key, date_col, *columns]))
-    return wanted.join(newest, [key, date_col], "left_semi")
+    if kind is not None and kind not in wanted.columns:
+        wanted = df.select(*wanted.columns, kind)
+    held = wanted.columns if columns is None else [*dict.fromkeys([key, date_col, *columns])]
+    at_last = F.col(date_col) == last
+    keyed = F.col(key).isNotNull()
+    found = wanted.where(at_last & has_kind & keyed)
+    left_before = newest.where(F.col(date_col) < last)
+    found = found.unionByName(
+        wanted.where(F.col(date_col) < last).join(left_before, [key, date_col], "left_semi")
+    )
+    if kind is not None:
+        there = typed.where(at_last).select(key).distinct()
+        found = found.unionByName(
+            wanted.where(at_last & F.col(kind).isNull()).join(there, key, "left_semi")
+        )
+    return found.select(*held)
 
 
 def change_frequency(

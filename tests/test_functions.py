@@ -113,12 +113,16 @@ def test_words_split_on_everything_but_letters_and_digits(spark):
 def test_cells(spark):
     step = cell_step(12)
     assert 1e-4 < step < 2e-4
-    same = assign_cell(F.lit(10.0001), F.lit(-20.0), 1.0)
-    near = assign_cell(F.lit(10.9), F.lit(-19.01), 1.0)
-    far = assign_cell(F.lit(11.0), F.lit(-20.0), 1.0)
+    same = assign_cell(F.lit(0.0001), F.lit(-19.9), 1.0)
+    near = assign_cell(F.lit(0.9), F.lit(-19.01), 1.0)
+    far = assign_cell(F.lit(1.0), F.lit(-19.9), 1.0)
     no = assign_cell(F.lit(None).cast("double"), F.lit(1.0), 1.0)
     values = one(spark, same, near, far, no)
-    assert values[0] == values[1] == "100:160" and values[2] == "101:160" and values[3] == ""
+    assert values[0] == values[1] == "90:160" and values[2] == "91:160" and values[3] == ""
+    # At 60 degrees a column is twice as wide in degrees, so as wide in kilometres.
+    polar = [assign_cell(F.lit(59.9999), F.lit(x), 0.01) for x in (0.001, 0.019, 0.021)]
+    cells = one(spark, *polar)
+    assert len(set(cells)) == 2
 
 
 def test_sizing_grows_with_the_input():
