@@ -38,7 +38,8 @@ def kept_lines(docs: list[tuple], least: float = 0.8, distance: int = 3) -> list
     places, words = defaultdict(list), {}
     for number, (doc, text) in enumerate(docs):
         for pos, line in enumerate(text.split("\n")):
-            norm = regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip()
+            norm = regex.sub(r"[\x00-\x1F\x21-\x2F\x3A-\x60\x7B-\x7F ]+", " ", line.lower())
+            norm = norm.strip(" ")
             if norm:
                 places[norm].append((doc, pos, number))
                 words[norm] = norm.split(" ")
