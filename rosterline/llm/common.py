@@ -31,10 +31,10 @@ class Stored:
     The files cut the lineage, outlive lost executors, and can go once nothing reads them.
     """
 
-    def __init__(self, df: DataFrame, purpose: str):
+    def __init__(self, df: DataFrame, purpose: str, compression: str = "snappy"):
         self.spark = df.sparkSession
         self.path = work_folder(self.spark, purpose)
-        df.write.parquet(self.path)
+        df.write.option("compression", compression).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def bytes(self) -> int:
