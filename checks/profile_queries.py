@@ -35,7 +35,7 @@ from rosterline.operators.payments import all_payments, payments_by_provider
 from rosterline.operators.rollups import also_known_as, clinician_facts, optout_dates, token_list
 from rosterline.operators.snapshots import change_frequency, latest_partition, latest_per_key
 from rosterline.plans.flow import OutsideTables, RegistryTables, profile_flow
-from rosterline.plans.histories import othername_se
+from rosterline.plans.histories import otherid_se, othername_se
 from rosterline.plans.profile import (
     profile_continuations,
     read_documents,
@@ -277,6 +277,11 @@ PROFILE_LISTS = {
     "licenses": list_sql(LICENSE_SQL, "license_token", "licenses"),
     "endpoints": list_sql(ENDPOINT_SQL, "endpoint_token", "endpoints"),
     "otherids": list_sql(OTHERID_SQL, "other_id_token", "otherids"),
+    "otherids_ccn": list_sql(
+        f"SELECT * FROM ({OTHERID_SQL}) AS o WHERE other_id_type_code = '01'",
+        "other_id_token",
+        "otherids_ccn",
+    ),
     "openpayments": PAYMENTS_SQL,
 }
 PROFILE_FACTS = {
@@ -315,8 +320,9 @@ PROFILE_SQL = f"""
 
 
 def _tables(spark: SparkSession, sf: str) -> tuple[RegistryTables, OutsideTables]:
+    npidata = staged(npidata_with_slots(spark, sf), "npidata")
     registry = RegistryTables(
-        staged(npidata_with_slots(spark, sf), "npidata"),
+        npidata,
         *[frame(spark, sf, n) for n in ("othername", "endpoint", "pl", "taxonomy_lookup")],
     )
     outside = OutsideTables(
@@ -326,6 +332,9 @@ def _tables(spark: SparkSession, sf: str) -> tuple[RegistryTables, OutsideTables
         dac_ndf=frame(spark, sf, "dac_ndf"),
         general_payments=frame(spark, sf, "general"),
         research_payments=frame(spark, sf, "research"),
+        otherid_ccn_se=staged(
+            otherid_se(npidata).where(F.col("other_id_type_code") == "01"), "ccn"
+        ),
     )
     return registry, outside
 

@@ -114,12 +114,11 @@ MAILING_COLUMNS = {
 }
 
 # Column names of the secondary-location file.
-PL = "provider_secondary_practice_location_address_"
 PL_COLUMNS = {
-    "line1": f"{PL}address_line_1",
-    "line2": f"{PL}_address_line_2",
-    "city": f"{PL}_city_name",
-    "state": f"{PL}_state_name",
-    "postal_code": f"{PL}_postal_code",
-    "country": f"{PL}_country_code_if_outside_us",
+    "line1": "provider_secondary_practice_location_address_address_line_1",
+    "line2": "provider_secondary_practice_location_address__address_line_2",
+    "city": "provider_secondary_practice_location_address__city_name",
+    "state": "provider_secondary_practice_location_address__state_name",
+    "postal_code": "provider_secondary_practice_location_address__postal_code",
+    "country": "provider_secondary_practice_location_address__country_code_if_outside_us",
 }

@@ -112,6 +112,7 @@ def profile_lists(
     histories: dict[str, DataFrame],
     outside: OutsideTables,
     edges: DataFrame | None,
+    payments: DataFrame | None,
     first_only: bool,
 ) -> list[DataFrame]:
     """All list columns of the profile, as first parts or with every part."""
@@ -125,8 +126,7 @@ def profile_lists(
     ]
     if "othernames" in histories:
         lists.append(also_known_as(histories["othernames"], **how))
-    if outside.general_payments is not None and outside.research_payments is not None:
-        payments = all_payments(outside.general_payments, outside.research_payments)
+    if payments is not None:
         lists.append(payments_by_provider(payments, **how))
     return lists
 
@@ -136,8 +136,8 @@ def profile_flow(
 ) -> tuple[DataFrame, DataFrame]:
     """Provider profile, and the continuations of lists that are too long for one row.
 
-    The start-end tables and the affiliation edges are written once, as both results and several
-    columns are made of them.
+    The start-end tables, the affiliation edges and the payments are written once, as both results
+    and several columns are made of them.
     """
     histories = {name: staged(df, name) for name, df in history_tables(tables).items()}
     edges = None
@@ -146,8 +146,13 @@ def profile_flow(
     facts = profile_facts(outside, edges)
     if neighbours is not None:
         facts.append(neighbours.drop("entity_type_code", "name"))
-    first = profile_lists(histories, outside, edges, first_only=True)
-    every = profile_lists(histories, outside, edges, first_only=False)
+    payments = None
+    if outside.general_payments is not None and outside.research_payments is not None:
+        payments = staged(
+            all_payments(outside.general_payments, outside.research_payments), "payments"
+        )
+    first = profile_lists(histories, outside, edges, payments, first_only=True)
+    every = profile_lists(histories, outside, edges, payments, first_only=False)
     base = staged(profile_base(tables.npidata), "base")
     return provider_profile(base, facts, first), profile_continuations(every)
 

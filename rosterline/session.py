@@ -54,6 +54,17 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Folders that ``staged`` has written in this process and that ``clear_staged`` deletes.
+STAGED: list[str] = []
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the staged tables; for when the results that read them have been written."""
+    while STAGED:
+        root = spark._jvm.org.apache.hadoop.fs.Path(STAGED.pop())
+        root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back, for results that are used several times.
 
@@ -61,4 +72,5 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = work_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
