@@ -26,7 +26,7 @@ MORE_PIVOTS = 8
 
 
 def crowded(rows: DataFrame) -> DataFrame:
-    """Those of ``rows`` (bucket, node, rank) that share their bucket with another row."""
+    """Those of ``rows`` (bucket, node and more) that share their bucket with another row."""
     counts = Stored(
         rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("bucket"),
         "buckets",
@@ -81,9 +81,9 @@ def components(links: DataFrame) -> Stored:
 def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """``node`` and ``root`` of the nodes that have a link; None if there is no link at all.
 
-    ``rows`` has ``bucket``, ``node`` and ``rank`` (the order in which members become pivots),
-    each bucket and node once. ``verify`` gets pairs (a, b), a < b, each once, and keeps those
-    that are linked.
+    ``rows`` has ``bucket``, ``node``, ``rank`` (the order in which members become pivots),
+    ``size`` and the sizes, ``low`` to ``high``, that a linked node can have; each bucket and node
+    once. ``verify`` gets pairs (a, b), a < b, each once, and keeps those that are linked.
     """
     members = Stored(crowded(rows), "members")
     links: list[Stored] = []
@@ -94,7 +94,7 @@ def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Da
         if labels is not None:
             roots = labels.df.select("node", F.col("root").alias("known"))
             placed = members.df.join(roots, "node", "left").select(
-                "bucket", "node", "rank", F.coalesce("known", "node").alias("root")
+                *members.df.columns, F.coalesce("known", "node").alias("root")
             )
         placed = Stored(placed, "placed")
         largest = Stored(
@@ -116,13 +116,20 @@ def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Da
             .where(F.col("root") != F.col("largest"))
             .withColumn("place", F.row_number().over(order))
             .where(F.col("place") <= most)
-            .select("bucket", F.col("node").alias("pivot"), F.col("root").alias("pivot_root")),
+            .select(
+                "bucket",
+                *[F.col(c).alias(f"pivot_{c}") for c in ("node", "root", "size", "low", "high")],
+            ),
             "pivots",
         )
         pairs = (
             placed.df.join(pivots.side(), "bucket")
             .where(F.col("root") != F.col("pivot_root"))
-            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+            .where(F.col("size").between(F.col("pivot_low"), F.col("pivot_high")))
+            .where(F.col("pivot_size").between(F.col("low"), F.col("high")))
+            .select(
+                F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")
+            )
             .distinct()
         )
         found = Stored(verify(pairs), "links")
@@ -130,11 +137,11 @@ def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Da
         rest = (
             placed.df.join(largest.side(), "bucket", "left_semi")
             .join(
-                pivots.side().select("bucket", F.col("pivot").alias("node")),
+                pivots.side().select("bucket", F.col("pivot_node").alias("node")),
                 ["bucket", "node"],
                 "left_anti",
             )
-            .select("bucket", "node", "rank")
+            .select(*members.df.columns)
         )
         members = Stored(rest, "members")
         for table in (placed, largest, pivots):

@@ -8,8 +8,12 @@ the alignment of their k-mers, within the band of diagonals that the asked simil
 decides. Similarity is the number of aligned k-mers over all k-mers of both, 0.8 or more by
 default: the share of common word runs, if they stand in the same order.
 
-Texts with equal words are one candidate, however often they occur. Groups are the connected
-documents; see ``groups`` for how large ones are found without all pairs.
+Texts with equal words are one candidate, however often they occur. A k-mer that no other
+candidate has cannot be aligned, so the number of the others bounds how similar a candidate can
+be to any other, and how large that one may be; candidates that can have no partner drop out, and
+pairs of other sizes are not made. Candidates with few k-mers of their own, in the middle of a
+group of edited copies, are compared first. Groups are the connected documents; see ``groups``
+for how large ones are found without all pairs.
 
 Defined cases: a null text is an empty one; texts without a word are compared as they stand, blanks
 at the ends aside; fewer words than a k-mer has are one k-mer; groups are named by their smallest
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterline.llm.common import Field, Stored, map_texts, text_of
-from rosterline.llm.groups import link_groups
+from rosterline.llm.groups import crowded, link_groups
 from rosterline.llm.windows import Words, mixed
 
 KMER_WORDS = 5
@@ -139,7 +143,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _bodies(docs: DataFrame, wanted: Stored) -> DataFrame:
-    """``digest`` and ``words`` of the wanted (id, digest), each digest once."""
+    """``node`` (digest) and ``words`` of the wanted (id, digest), each digest once."""
 
     def start():
         def work(texts: list[str], _) -> list:
@@ -152,10 +156,55 @@ def _bodies(docs: DataFrame, wanted: Stored) -> DataFrame:
         ("made", T.BinaryType(), pa.binary()),
         ("words", T.BinaryType(), pa.binary()),
     ]
-    side = wanted.side().select(F.col("id").alias("wanted_id"), F.col("digest").alias("wanted"))
+    side = wanted.side().select(F.col("id").alias("wanted_id"), F.col("digest").alias("node"))
     picked = docs.join(side, F.col("id").eqNullSafe(F.col("wanted_id")))
-    made = map_texts(picked, F.col("body"), ("wanted",), fields, start)
-    return made.where(F.col("made") == F.col("wanted")).select("wanted", "words")
+    made = map_texts(picked, F.col("body"), ("node",), fields, start)
+    return made.where(F.col("made") == F.col("node")).select("node", "words")
+
+
+def _reach(bodies: DataFrame, least: float) -> DataFrame:
+    """``node``, ``rank``, ``size``, ``low`` and ``high`` of the candidates that can have a partner.
+
+    With s of its n k-mers in other candidates too, x aligned of n and m are x / (n + m - x) at
+    most ``least`` or more only if m <= s * (1 + 1 / least) - n.
+    """
+
+    def start():
+        def work(texts: list[bytes], _) -> list:
+            found = [kmers(words) for words in texts]
+            return [[len(x) for x in found], [x.view(np.int64) for x in found]]
+
+        return work
+
+    fields: list[Field] = [
+        ("size", T.LongType(), pa.int64()),
+        ("kmers", T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+    ]
+    made = map_texts(bodies, F.col("words"), ("node",), fields, start)
+    single = (
+        made.select("node", F.explode("kmers").alias("kmer"))
+        .groupBy("kmer")
+        .agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        .where(F.col("n") == 1)
+        .groupBy("node")
+        .agg(F.count("*").alias("own"))
+    )
+    known = made.select("node", "size").join(single, "node", "left").select(
+        "node", "size", F.coalesce("own", F.lit(0)).alias("own")
+    )
+    slack = F.lit(1e-6)
+    high = F.least(
+        F.floor((F.col("size") - F.col("own")) * F.lit(1 + 1 / least) - F.col("size") + slack),
+        F.floor(F.col("size") / F.lit(least) + slack),
+    )
+    ranged = known.select(
+        "node",
+        (F.col("own") / F.greatest("size", F.lit(1))).alias("rank"),
+        "size",
+        F.ceil(F.col("size") * F.lit(least) - slack).alias("low"),
+        high.alias("high"),
+    )
+    return ranged.where(F.col("high") >= F.col("low"))
 
 
 def near_duplicates(
@@ -166,37 +215,26 @@ def near_duplicates(
 ) -> DataFrame:
     """``id_col``, ``digest`` (of the document's words) and ``class_id`` of every row."""
     signed = Stored(_signatures(docs, id_col, text_col), "signatures")
-    texts = (
-        signed.df.groupBy("digest")
-        .agg(F.min("id").alias("id"), F.first("sketches").alias("sketches"))
+    texts = signed.df.groupBy("digest").agg(
+        F.min("id").alias("id"), F.first("sketches").alias("sketches")
+    )
+    drawn = texts.select(
+        F.explode("sketches").alias("bucket"), F.col("digest").alias("node"), "id"
     )
-    rows = texts.select(
-        F.explode("sketches").alias("bucket"),
-        F.col("digest").alias("node"),
-        F.col("id").alias("rank"),
-    ).distinct()
+    members = Stored(crowded(drawn.distinct()), "candidates")
+    wanted = Stored(members.df.select(F.col("node").alias("digest"), "id").distinct(), "wanted")
     given = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("body"))
-    bodies: list[Stored] = []
+    bodies = Stored(_bodies(given, wanted).dropDuplicates(["node"]), "bodies")
+    reach = Stored(_reach(bodies.df, least), "reach")
+    rows = members.df.select("bucket", "node").join(reach.side(), "node")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = Stored(pairs, "pairs")
-        nodes = pairs.df.select(F.col("a").alias("digest")).unionByName(
-            pairs.df.select(F.col("b").alias("digest"))
-        )
-        wanted = Stored(
-            signed.df.join(nodes.distinct(), "digest", "left_semi")
-            .groupBy("digest")
-            .agg(F.min("id").alias("id")),
-            "wanted",
-        )
-        body = Stored(_bodies(given, wanted).dropDuplicates(["wanted"]), "bodies")
-        bodies.extend([pairs, wanted, body])
-        one = body.df.select(F.col("wanted").alias("a"), F.col("words").alias("words_a"))
-        other = body.df.select(F.col("wanted").alias("b"), F.col("words").alias("words_b"))
-        return _aligned(pairs.df.join(one, "a").join(other, "b"), least)
+        one = bodies.df.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
+        other = bodies.df.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
+        return _aligned(pairs.join(one, "a").join(other, "b"), least)
 
     roots = link_groups(rows, verify)
-    for table in bodies:
+    for table in (members, wanted, bodies, reach):
         table.drop()
     known = signed.df.select("id", "digest")
     if roots is None:

@@ -98,11 +98,31 @@ def test_pigeonholes_meet(spark):
     assert all(r[0] >= 1 for r in keys.collect())
 
 
+def test_edit_similarity_of_lines(spark):
+    chance = random.Random(5)
+    rows = []
+    for _ in range(300):
+        words = [chance.choice(["a", "bc", "def", "ä"]) for _ in range(chance.randint(1, 12))]
+        other = list(words)
+        for _ in range(chance.randint(0, 3)):
+            at = chance.randrange(len(other) + 1)
+            other[at : at + chance.randint(0, 1)] = chance.choice([[], ["x"], ["bc", "a"]])
+        rows.append((" ".join(words), " ".join(other) or "x"))
+    df = spark.createDataFrame(rows, "a string, b string")
+    found = df.select("a", "b", line_dedup.edit_similar(F.col("a"), F.col("b"), 0.7))
+    for one, other, similar in found.collect():
+        most = int(max(len(one), len(other)) * 0.3 + 1e-6)
+        assert similar == (brute.edit_distance(one, other) <= most), (one, other)
+
+
 def test_crowded_buckets_lose_no_group(spark):
     """Numbers are linked if they are at most 3 apart; everything is in one bucket."""
     chance = random.Random(3)
     nodes = sorted(chance.sample(range(3000), 900))
-    rows = spark.createDataFrame([(1, n, n % 17) for n in nodes], "bucket int, node int, rank int")
+    rows = spark.createDataFrame(
+        [(1, n, n % 17, n, n - 5, n + 4) for n in nodes],
+        "bucket int, node int, rank int, size int, low int, high int",
+    )
     seen = []
 
     def verify(pairs):
@@ -119,7 +139,8 @@ def test_crowded_buckets_lose_no_group(spark):
 
 
 def test_one_dense_group_needs_few_pairs(spark):
-    rows = spark.range(2000).select(F.lit(1).alias("bucket"), F.col("id").alias("node"), F.lit(0).alias("rank"))
+    bounds = [F.lit(0).alias(c) for c in ("rank", "size", "low", "high")]
+    rows = spark.range(2000).select(F.lit(1).alias("bucket"), F.col("id").alias("node"), *bounds)
     seen = []
 
     def verify(pairs):
@@ -131,6 +152,30 @@ def test_one_dense_group_needs_few_pairs(spark):
     assert sum(seen) < 3 * 2000
 
 
+def test_edited_copies_need_few_pairs(spark, monkeypatch):
+    """Copies of one text, each with edits of its own: most can only be linked to the original."""
+    chance = random.Random(6)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(1000, " ".join(base))]
+    for doc in range(300):
+        words = list(base)
+        for at in chance.sample(range(150), chance.randint(1, 6)):
+            words[at] = f"e{doc}x{at}"
+        rows.append((doc, " ".join(words)))
+    seen = []
+    aligned = near_duplicates._aligned
+
+    def counted(pairs, least):
+        seen.append(pairs.count())
+        return aligned(pairs, least)
+
+    monkeypatch.setattr(near_duplicates, "_aligned", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs).collect()}
+    assert got == brute.classes(dict(rows))
+    assert sum(seen) < 6 * len(rows)
+
+
 def test_trees_locate_edits():
     one = "First paragraph here.\nSecond one.\nThird paragraph, unchanged."
     other = one.replace("Second", "2nd")
