@@ -78,6 +78,35 @@ def components(links: DataFrame) -> Stored:
             return labels
 
 
+def _merged(labels: Stored | None, links: DataFrame) -> Stored:
+    """``labels`` after groups have been joined over ``links``: only links between groups count."""
+    if labels is None:
+        return components(links)
+    known = labels.df.select("node", "root")
+    for side in "ab":
+        ends = known.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        links = links.join(ends, side, "left")
+    between = Stored(
+        links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+        .where(F.col("a") != F.col("b"))
+        .distinct(),
+        "between",
+    )
+    if between.df.isEmpty():
+        between.drop()
+        return labels
+    top = components(between.df)
+    moved = top.df.select(F.col("node").alias("root"), F.col("root").alias("new"))
+    old = known.join(moved, "root", "left").select(
+        "node", F.coalesce("new", "root").alias("root")
+    )
+    fresh = top.df.select("node", "root").join(known.select("node"), "node", "left_anti")
+    made = Stored(old.unionByName(fresh), "labels")
+    for table in (between, top, labels):
+        table.drop()
+    return made
+
+
 def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """``node`` and ``root`` of the nodes that have a link; None if there is no link at all.
 
@@ -86,7 +115,6 @@ def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Da
     once. ``verify`` gets pairs (a, b), a < b, each once, and keeps those that are linked.
     """
     members = Stored(crowded(rows), "members")
-    links: list[Stored] = []
     labels: Stored | None = None
     most = FIRST_PIVOTS
     while not members.df.isEmpty():
@@ -133,7 +161,6 @@ def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Da
             .distinct()
         )
         found = Stored(verify(pairs), "links")
-        links.append(found)
         rest = (
             placed.df.join(largest.side(), "bucket", "left_semi")
             .join(
@@ -147,14 +174,8 @@ def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Da
         for table in (placed, largest, pivots):
             table.drop()
         if not found.df.isEmpty():
-            every = links[0].df
-            for more in links[1:]:
-                every = every.unionByName(more.df)
-            if labels is not None:
-                labels.drop()
-            labels = components(every)
+            labels = _merged(labels, found.df)
+        found.drop()
         most *= MORE_PIVOTS
     members.drop()
-    for table in links:
-        table.drop()
     return None if labels is None else labels.df.select("node", "root")
