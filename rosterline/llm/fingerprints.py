@@ -18,6 +18,7 @@ others; extra columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -38,21 +39,20 @@ LEAF_WORDS = 4
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
-#: Sections, paragraphs, leaves: a leaf is a digest and its number of characters.
-Tree = tuple[str, list[list[list[tuple[str, int]]]]]
+#: Root; sections of paragraphs of leaves: 24 bits of digest, then the number of characters.
+Tree = tuple[str, list[list[list[int]]]]
 
+_SIZE_BITS = 40
+_SIZES = (1 << _SIZE_BITS) - 1
 
-def _digest(data: str, size: int) -> str:
-    return blake2b(data.encode(), digest_size=size).hexdigest()
 
-
-def _leaves_of(paragraph: str) -> list[tuple[str, int]]:
+def _leaves_of(paragraph: str) -> list[int]:
     leaves = []
     for sentence in _SENTENCE.split(paragraph):
         words = sentence.split()
         for at in range(0, len(words), LEAF_WORDS):
             run = " ".join(words[at : at + LEAF_WORDS])
-            leaves.append((f"{crc32(run.encode()) & 0xFFFFFF:06x}", len(run)))
+            leaves.append((crc32(run.encode()) & 0xFFFFFF) << _SIZE_BITS | len(run))
     return leaves
 
 
@@ -63,23 +63,28 @@ def tree(text: str) -> Tree:
         leaves = _leaves_of(paragraph)
         if not leaves:
             continue
-        node = _digest("".join(leaf for leaf, _ in leaves), 8)
+        node = blake2b(array("Q", leaves).tobytes(), digest_size=8).digest()
         open_section.append(leaves)
         spine.append(node)
-        if int(node[-1], 16) % 4 == 0:
+        if node[-1] % 4 == 0:
             sections.append(open_section)
             open_section = []
-            spine.append(";")
+            spine.append(b";")
     if open_section:
         sections.append(open_section)
     # Blanks are in no leaf, so the root takes in the exact text as well.
-    return _digest(_digest("".join(spine), 16) + _digest(text, 16), 16), sections
+    root = blake2b(b"".join(spine), digest_size=16)
+    root.update(blake2b(text.encode()).digest())
+    return root.hexdigest(), sections
 
 
 def printed(made: Tree) -> str:
     root, sections = made
     body = ";".join(
-        "|".join(",".join(f"{leaf}{size:x}" for leaf, size in leaves) for leaves in section)
+        "|".join(
+            ",".join([f"{leaf >> _SIZE_BITS:06x}{leaf & _SIZES:x}" for leaf in leaves])
+            for leaves in section
+        )
         for section in sections
     )
     return f"{root}:{body}"
@@ -89,7 +94,7 @@ def parsed(fingerprint: str) -> Tree:
     root, _, body = fingerprint.partition(":")
     sections = [
         [
-            [(leaf[:6], int(leaf[6:], 16)) for leaf in leaves.split(",")]
+            [int(leaf[:6], 16) << _SIZE_BITS | int(leaf[6:], 16) for leaf in leaves.split(",")]
             for leaves in section.split("|")
         ]
         for section in body.split(";")
@@ -99,18 +104,26 @@ def parsed(fingerprint: str) -> Tree:
 
 
 def _leaves(sections: list) -> Counter:
-    return Counter(leaf for section in sections for leaves in section for leaf in leaves)
+    found: Counter = Counter()
+    for section in sections:
+        for leaves in section:
+            found.update(leaves)
+    return found
 
 
 def likeness(one: Tree, other: Tree) -> float:
     """1 for equal roots, else the share of characters in leaves that both trees have."""
     if one[0] == other[0]:
         return 1.0
-    mine, yours = _leaves(one[1]), _leaves(other[1])
-    total = sum(size * n for (_, size), n in (mine + yours).items())
+    return _shared(_leaves(one[1]), _leaves(other[1]))
+
+
+def _shared(mine: Counter, yours: Counter) -> float:
+    total = sum([(leaf & _SIZES) * n for found in (mine, yours) for leaf, n in found.items()])
     if not total:  # texts of blanks that are not the same
         return 0.0
-    return 2 * sum(size * n for (_, size), n in (mine & yours).items()) / total
+    both = mine.keys() & yours.keys()
+    return 2 * sum([(leaf & _SIZES) * min(mine[leaf], yours[leaf]) for leaf in both]) / total
 
 
 def edits(one: Tree, other: Tree) -> list[tuple[int, int]]:
@@ -118,13 +131,13 @@ def edits(one: Tree, other: Tree) -> list[tuple[int, int]]:
     if one[0] == other[0]:
         return []
     sections = {repr(section) for section in other[1]}
-    paragraphs = {repr(leaves) for section in other[1] for leaves in section}
+    paragraphs = {tuple(leaves) for section in other[1] for leaves in section}
     return [
         (i, j)
         for i, section in enumerate(one[1])
         if repr(section) not in sections
         for j, leaves in enumerate(section)
-        if repr(leaves) not in paragraphs
+        if tuple(leaves) not in paragraphs
     ]
 
 
@@ -133,10 +146,11 @@ def fingerprints(
     text_col: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
     against: tuple[str, ...] = (),
+    locate: bool = True,
 ) -> DataFrame:
     """``keep``, ``fingerprint`` and, for each text column in ``against``, what compares it:
-    ``fingerprint_<name>``, ``likeness_<name>`` and ``edited_<name>``, the places (section,
-    paragraph) of the text that the other text does not have."""
+    ``fingerprint_<name>``, ``likeness_<name>`` and, if asked to ``locate``, ``edited_<name>``,
+    the places (section, paragraph) of the text that the other text does not have."""
     others = tuple(f"__other_{name}" for name in against)
     given = docs.select(
         *keep,
@@ -152,21 +166,29 @@ def fingerprints(
         fields += [
             (f"fingerprint_{name}", T.StringType(), pa.string()),
             (f"likeness_{name}", T.DoubleType(), pa.float64()),
-            (f"edited_{name}", T.ArrayType(spark_place), pa.list_(place)),
         ]
+        if locate:
+            fields.append((f"edited_{name}", T.ArrayType(spark_place), pa.list_(place)))
 
     def start():
         def work(texts: list[str], columns: dict[str, pa.Array]) -> list:
             trees = [tree(text) for text in texts]
+            held = [_leaves(sections) for _, sections in trees]
             made = [[printed(t) for t in trees]]
             for other in others:
                 theirs = [tree(text) for text in columns[other].to_pylist()]
                 pairs = list(zip(trees, theirs, strict=True))
                 made.append([printed(t) for t in theirs])
-                made.append([likeness(a, b) for a, b in pairs])
                 made.append(
-                    [[{"section": i, "paragraph": j} for i, j in edits(a, b)] for a, b in pairs]
+                    [
+                        1.0 if a[0] == b[0] else _shared(mine, _leaves(b[1]))
+                        for (a, b), mine in zip(pairs, held, strict=True)
+                    ]
                 )
+                if locate:
+                    made.append(
+                        [[{"section": i, "paragraph": j} for i, j in edits(a, b)] for a, b in pairs]
+                    )
             return made
 
         return work

@@ -190,6 +190,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         texts,
         keep=("doc_id", "n_chars", "edited_sha256"),
         against=("edited_text", "next_text"),
+        locate=False,
     )
     return found.select(
         "doc_id",
