@@ -125,7 +125,7 @@ def profile_lists(
         if history is not None
     ]
     if "othernames" in histories:
-        lists.append(also_known_as(histories["othernames"], **how))
+        lists.append(also_known_as(histories["othernames"], with_held=True, **how))
     if payments is not None:
         lists.append(payments_by_provider(payments, **how))
     return lists

@@ -24,6 +24,7 @@ from rosterline.plans.profile import (
     profile_base,
     profile_continuations,
     provider_profile,
+    search_rows,
     read_documents,
     write_directory,
     write_documents,
@@ -304,3 +305,22 @@ def test_search_ranks_by_words_then_hits_then_key(spark):
     assert [tuple(r) for r in search_words(index, ["Widget", "red"], "npi").collect()] == want
     texts = ["name_search", "address_search"]
     assert [tuple(r) for r in search_text(docs, ["red", "widget"], "npi", texts).collect()] == want
+
+
+def test_all_other_names_are_searched_and_told_of(spark, registry):
+    """A provider with other names in several parts is found by each of them."""
+    names = spark.createDataFrame(
+        [("800", f"name{i:03}") for i in range(60)] + [("1", "roe")], "npi string, othername string"
+    )
+    first = also_known_as(names, 10, first_only=True, with_held=True)
+    every = also_known_as(names, 10, with_held=True)
+    profile = provider_profile(profile_base(registry.npidata), [], [first])
+    got = {r.npi: r for r in profile.collect()}
+    assert got["800"].more_parts and not got["1"].more_parts
+    assert "held" not in profile.columns
+    rows = search_rows(profile, profile_continuations([every]))
+    words = {(r.npi, r.word): r.hits for r in word_index(rows, "npi", ["text"]).collect()}
+    assert {w for npi, w in words if npi == "800"} >= {f"name{i:03}" for i in range(60)}
+    assert words["800", "800"] == words["800", "boston"] == words["1", "roe"] == 1
+    for i in (0, 31, 59):
+        assert search_text(rows, [f"NAME{i:03}"], "npi", ["text"]).first().npi == "800"
