@@ -3,14 +3,14 @@
 Each language has a tree of byte contexts of up to three bytes with the counts of the byte that
 followed. A byte costs -log2 of its share in the longest context that has seen it, plus the cost
 of the escapes from the longer ones (an escape has as many counts as the context has different
-followers); below the empty context all symbols are alike. The statistics are frozen after
-learning, so that the cost of every symbol in every context is tabulated once. A text belongs to
-the language that gives it the shortest code; the score is that language's share in the sum of
-the probabilities of the whole text.
+followers); below the empty context all 256 bytes are alike. The statistics are frozen after
+learning, so that costs are tabulated once. A text belongs to the language that gives it the
+shortest code; the score is that language's share in the sum of the probabilities of the whole
+text.
 
-Counting covers all texts that are learned from: tasks count, Spark adds up. Only the model, of
-a fixed largest size (``MAX_GRAMS``, ``MAX_CELLS``), passes the driver; what exceeds it are the
-rarest contexts, in which the next shorter context predicts.
+Counting covers all texts that are learned from: tasks count, Spark adds up, and no count is left
+out. Languages are scored in passes over tables of ``PASS_GRAMS`` sequences together, one whole
+language at least, so that a further language makes a further pass and not a larger table.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; if nothing can be
 learned, all are; texts of equal code length get the first language of the alphabet; repeated
@@ -28,15 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterline.llm.common import Field, map_texts, text_of
+from rosterline.llm.common import Field, Stored, map_texts, text_of
 
 UNKNOWN = "und"
 
-#: Byte sequences of four that the model may hold, the most frequent ones.
-MAX_GRAMS = 1_000_000
-
-#: Cells of the tables of all languages, two bytes each.
-MAX_CELLS = 32_000_000
+#: Byte sequences of four in the tables of a pass, unless a single language has more.
+PASS_GRAMS = 4_000_000
 
 _START = b"\n\n\n"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -99,104 +96,144 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class Trees:
-    """Tabulated code lengths of all languages."""
-
-    def __init__(self, lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
-        self.langs = sorted(set(lang.tolist()))
-        own = np.searchsorted(self.langs, lang) if len(lang) else np.zeros(0, int)
-        followed = np.bincount(gram & 255, n, minlength=256)
-        frequent = np.argsort(-followed, kind="stable")[:127]
-        frequent = frequent[followed[frequent] > 0]
-        self.symbol = np.zeros(256, np.int32)  # 0 stands for all bytes without a symbol
-        self.symbol[frequent] = np.arange(1, len(frequent) + 1)
-        s = self.size = len(frequent) + 1
-        a, b, c, d = (self.symbol[gram >> shift & 255].astype(np.int64) for shift in (24, 16, 8, 0))
-        deep = (a * s + b) * s + c
-        contexts, total = np.unique(deep, return_inverse=True)
-        weight = np.bincount(total, n, minlength=len(contexts))
-        room = max(0, MAX_CELLS // (s * max(1, len(self.langs))) - s * s)
-        kept = np.sort(np.argsort(-weight, kind="stable")[:room])
-        contexts = contexts[kept]
-        #: Row of each three-symbol context: its own if it has one, else that of its suffix.
-        self.row = np.tile(np.arange(s * s, dtype=np.int32), s)
-        self.row[contexts] = s * s + np.arange(len(contexts), dtype=np.int32)
-        self.cost = []
-        for number in range(len(self.langs)):
-            m = own == number
-            least = self._order(np.full((1, s), np.log2(s)), d[m], n[m])
-            first = self._order(np.repeat(least, s, axis=0), c[m] * s + d[m], n[m])
-            second = self._order(np.tile(first, (s, 1)), (b[m] * s + c[m]) * s + d[m], n[m])
-            at = self.row[deep[m]].astype(np.int64) - s * s
-            own_row = at >= 0
-            third = self._order(
-                second[contexts % (s * s)], at[own_row] * s + d[m][own_row], n[m][own_row]
+class Tree:
+    """Code lengths of one language: sorted sequences of each order, from the longest on."""
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray):
+        self.orders = []
+        for order in (3, 2, 1, 0):
+            keys, back = np.unique(gram & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            count = np.bincount(back, n, minlength=len(keys))
+            contexts, of = np.unique(keys >> 8, return_inverse=True)
+            different = np.bincount(of, minlength=len(contexts))
+            whole = np.log2(np.bincount(of, count, minlength=len(contexts)) + different)
+            self.orders.append(
+                (
+                    keys.astype(np.uint32),
+                    (whole[of] - np.log2(count)).astype(np.float32),
+                    contexts.astype(np.uint32),
+                    (whole - np.log2(different)).astype(np.float32),
+                )
             )
-            self.cost.append(np.concatenate([second, third]).astype(np.float16).ravel())
-
-    @staticmethod
-    def _order(shorter: np.ndarray, cell: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Costs in contexts (rows) of one order, from those of the next shorter context."""
-        seen = np.bincount(cell, n, minlength=shorter.size).reshape(shorter.shape)
-        total = seen.sum(axis=1, keepdims=True)
-        different = (seen > 0).sum(axis=1, keepdims=True)
-        known = total > 0
-        whole = np.log2(np.where(known, total + different, 1))
-        escape = np.where(known, whole - np.log2(np.where(known, different, 1)), 0)
-        return np.where(seen > 0, whole - np.log2(np.where(seen > 0, seen, 1)), shorter + escape)
-
-    def lengths(self, texts: list[str]) -> np.ndarray:
-        """Code length in bits of each text (rows) in each language (columns)."""
-        grams, sizes = _grams(texts)
-        out = np.zeros((len(texts), len(self.langs)))
-        full = np.flatnonzero(sizes)
-        if not len(full):
-            return out
-        s = self.size
-        a, b, c, d = (self.symbol[grams >> shift & 255] for shift in (24, 16, 8, 0))
-        cell = self.row[(a * s + b) * s + c] * s + d
-        starts = (np.cumsum(sizes) - sizes)[full]
-        for number, cost in enumerate(self.cost):
-            out[full, number] = np.add.reduceat(cost[cell].astype(np.float64), starts)
+
+    def costs(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each of the ``grams`` after those before it."""
+        out = np.zeros(len(grams))
+        left = np.arange(len(grams))
+        for order, (keys, cost, contexts, escape) in zip((3, 2, 1, 0), self.orders, strict=True):
+            wanted = grams[left] & np.uint32((1 << 8 * (order + 1)) - 1)
+            seen, at = _find(keys, wanted)
+            out[left[seen]] += cost[at[seen]]
+            left, wanted = left[~seen], wanted[~seen]
+            known, at = _find(contexts, wanted >> np.uint32(8))
+            out[left[known]] += escape[at[known]]
+        out[left] += 8
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        lettered = [i for i, text in enumerate(texts) if text and _LETTER.search(text)]
-        if self.langs and lettered:
-            bits = self.lengths([texts[i] for i in lettered])
-            best = bits.argmin(axis=1)
-            less = bits.min(axis=1, keepdims=True) - bits
-            share = 1 / np.exp2(np.maximum(less, -1000)).sum(axis=1)
-            for i, lang, score in zip(lettered, best.tolist(), share.tolist(), strict=True):
-                langs[i], scores[i] = self.langs[lang], score
-        return langs, scores
 
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether and where each of the ``wanted`` is in the sorted ``keys``, which are not empty."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[at] == wanted, at
 
-def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Trees:
-    """The trees of all languages, from all rows of ``docs`` that name one."""
-    counted = count_grams(docs, text_col, lang_col)
-    kept = counted.orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).toArrow()
-    return Trees(*(kept.column(c).to_numpy() for c in ("lang", "gram", "n")))
+
+def lengths(trees: list[Tree], texts: list[str]) -> np.ndarray:
+    """Code length in bits of each text (rows) in each language (columns)."""
+    grams, sizes = _grams(texts)
+    out = np.zeros((len(texts), len(trees)))
+    full = np.flatnonzero(sizes)
+    if len(full):
+        different, back = np.unique(grams, return_inverse=True)
+        starts = (np.cumsum(sizes) - sizes)[full]
+        for number, tree in enumerate(trees):
+            out[full, number] = np.add.reduceat(tree.costs(different)[back], starts)
+    return out
+
+
+def _best(langs: list[str], texts: list[str], bits: np.ndarray) -> tuple[list[str], list[float]]:
+    """Language and score of each text, from its code lengths."""
+    found, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    lettered = [i for i, text in enumerate(texts) if text and _LETTER.search(text)]
+    if langs and lettered:
+        bits = bits[lettered]
+        best = bits.argmin(axis=1)
+        less = bits.min(axis=1, keepdims=True) - bits
+        share = 1 / np.exp2(np.maximum(less, -1000)).sum(axis=1)
+        for i, lang, score in zip(lettered, best.tolist(), share.tolist(), strict=True):
+            found[i], scores[i] = langs[lang], score
+    return found, scores
+
+
+class Learned:
+    """Counts of all languages, stored, and the languages of each pass."""
+
+    def __init__(self, counted: DataFrame):
+        self.counts = Stored(counted, "grams")
+        sizes = self.counts.df.groupBy("lang").agg(F.count("*").alias("n")).collect()
+        sizes = sorted((r["lang"], r["n"]) for r in sizes)
+        self.langs = [lang for lang, _ in sizes]
+        self.passes: list[list[str]] = []
+        held = 0
+        for lang, n in sizes:
+            if not self.passes or held + n > PASS_GRAMS:
+                self.passes.append([])
+                held = 0
+            self.passes[-1].append(lang)
+            held += n
+
+    def trees(self, langs: list[str]) -> list[Tree]:
+        made = []
+        for lang in langs:
+            rows = self.counts.df.where(F.col("lang") == lang).select("gram", "n").toArrow()
+            made.append(Tree(*(rows.column(c).to_numpy() for c in ("gram", "n"))))
+        return made
+
+
+def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Learned:
+    """The counts of all languages, from all rows of ``docs`` that name one."""
+    return Learned(count_grams(docs, text_col, lang_col))
 
 
 _FIELDS: list[Field] = [
     ("lang_pred", T.StringType(), pa.string()),
     ("score", T.DoubleType(), pa.float64()),
 ]
+_BITS: list[Field] = [("__more", T.ArrayType(T.DoubleType()), pa.list_(pa.float64()))]
 
 
 def identify(
-    docs: DataFrame, trees: Trees, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, learned: Learned, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """``keep``, ``lang_pred`` and ``score`` of every text."""
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
-
-    def start():
-        model = shared.value
-        return lambda texts, _: list(model.predict(texts))
-
-    return map_texts(docs, text_of(text_col), keep, _FIELDS, start)
+    """``keep``, ``lang_pred`` and ``score`` of every text.
+
+    Between passes texts and code lengths are stored, so that a task holds the tables of one.
+    """
+    context, langs = docs.sparkSession.sparkContext, learned.langs
+    passes = learned.passes or [[]]
+    given = docs.select(*keep, text_of(text_col).alias("__given"))
+    for number, part in enumerate(passes):
+        shared = context.broadcast(learned.trees(part))
+        before = ("__bits",) if number else ()
+        last = number == len(passes) - 1
+
+        def start(shared=shared, last=last):
+            trees = shared.value
+
+            def work(texts: list[str], others: dict[str, pa.Array]) -> list:
+                bits = lengths(trees, texts)
+                if "__bits" in others:
+                    bits = np.hstack([np.array(others["__bits"].to_pylist()), bits])
+                return list(_best(langs, texts, bits)) if last else [bits.tolist()]
+
+            return work
+
+        fields = _FIELDS if last else _BITS
+        kept = (*keep, *before) if last else (*keep, "__given", *before)
+        found = map_texts(given, F.col("__given"), kept, fields, start)
+        if last:
+            return found.drop("__bits")
+        given = found.drop("__bits").withColumnRenamed("__more", "__bits")
+        given = Stored(given, "bits").df
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:
