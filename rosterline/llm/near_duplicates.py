@@ -41,13 +41,14 @@ from rosterline.llm.windows import Words, mixed
 KMER_WORDS = 5
 SIMILARITY = 0.8
 
-#: Sketches of a document, and k-mers in each: at a similarity of 0.8 a pair has a common sketch
-#: with probability 1 - (1 - 0.8 ** 6) ** 24 = 0.9993.
+#: Sketches of a document, and k-mers in each: at a similarity of 0.8 a pair of long texts has a
+#: common sketch with probability 1 - (1 - 0.8 ** 6) ** 24 = 0.9993.
 SKETCHES = 24
 SAMPLED = 6
 
-#: Documents of so few k-mers get, besides, sketches of one k-mer each, as they may lack the six.
-SHORT = 10
+#: Documents of so few k-mers get, besides, sketches of one k-mer each: six k-mers that are drawn
+#: from few agree less often. Pairs with a longer document are found with probability 0.9989 or more.
+SHORT = 75
 
 _WORD = regex.compile(r"\w+")
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
