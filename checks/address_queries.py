@@ -25,10 +25,10 @@ from rosterline.operators.addresses import (
 from rosterline.operators.places import (
     address_cells,
     cell_organisations,
-    colocation_lists,
     located_providers,
     poi_matches,
 )
+from rosterline.plans.flow import colocation
 from rosterline.session import staged
 
 STEP = cell_step()
@@ -290,7 +290,8 @@ def located_providers_query(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def cell_organisations_query(spark: SparkSession, sf: str) -> DataFrame:
-    return cell_organisations(_located(spark, sf), max_items=WHOLE).withColumn(
+    """All snapshots at once, so the cells are crowded; as one part each, to be compared."""
+    return cell_organisations(staged(_located(spark, sf), "located"), max_items=WHOLE).withColumn(
         "npi_lst", F.array_join("npi_lst", ";")
     )
 
@@ -307,29 +308,42 @@ def cell_organisations_query(spark: SparkSession, sf: str) -> DataFrame:
 )
 def cell_organisations_parts_query(spark: SparkSession, sf: str) -> DataFrame:
     """Parts of ten: all parts of a cell together hold all its organisations."""
-    rows = cell_organisations(_located(spark, sf), max_items=10)
+    rows = cell_organisations(staged(_located(spark, sf), "located"), max_items=10)
     return rows.select("side", "cell", "total", F.explode("npi_lst").alias("token"))
 
 
+# The newest yearly snapshot, as ``flow.colocation`` takes it.
+NEWEST_LOCATED_SQL = LOCATED_SQL.replace("{located_rows}", "{located_yearly}").replace(
+    "IS NOT NULL)", "IS NOT NULL\n            AND _input_file_date = "
+    "(SELECT max(_input_file_date) FROM {located_yearly}))"
+)
+
+
 def cell_lists_sql(side: str) -> str:
     return f"""SELECT h3_{side}, count(*) AS npi_cnt_{side},
         string_agg({CELL_TOKEN}, ';' ORDER BY {CELL_TOKEN}) AS npi_lst_{side}
-        FROM ({LOCATED_SQL}) AS o WHERE entity_type_code = '2' AND h3_{side} IS NOT NULL
+        FROM ({NEWEST_LOCATED_SQL}) AS o WHERE entity_type_code = '2' AND h3_{side} IS NOT NULL
         GROUP BY h3_{side}"""
 
 
-@check(
-    "colocation_lists",
-    f"""
+COLOCATION_SQL = f"""
     SELECT npi, entity_type_code, name, l.h3_b, l.h3_m, npi_cnt_b, npi_cnt_m, npi_lst_b, npi_lst_m
-    FROM ({LOCATED_SQL}) AS l LEFT JOIN ({cell_lists_sql("b")}) AS b ON l.h3_b = b.h3_b
-    LEFT JOIN ({cell_lists_sql("m")}) AS m ON l.h3_m = m.h3_m
-    """,
-)
+    FROM ({NEWEST_LOCATED_SQL}) AS l LEFT JOIN ({cell_lists_sql("b")}) AS b ON l.h3_b = b.h3_b
+    LEFT JOIN ({cell_lists_sql("m")}) AS m ON l.h3_m = m.h3_m"""
+
+
+def colocated(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The whole flow on yearly snapshots, with the part size that users get."""
+    npidata = staged(frame(spark, sf, "npidata_yearly"), "npidata")
+    answers = frame(spark, sf, "answers").withColumn(
+        "last_updated", F.lit("2024-01-01").cast("date")
+    )
+    return colocation(npidata, answers, STEP)
+
+
+@check("colocation_lists", COLOCATION_SQL)
 def colocation_lists_query(spark: SparkSession, sf: str) -> DataFrame:
-    located = staged(_located(spark, sf), "located")
-    cells = staged(cell_organisations(located, max_items=WHOLE), "organisations")
-    lists = colocation_lists(located, cells)
+    _, lists = colocated(spark, sf)
     return lists.withColumns({c: F.array_join(c, ";") for c in ("npi_lst_b", "npi_lst_m")})
 
 

@@ -56,6 +56,55 @@ PL_KEY = key_sql(
     "provider_secondary_practice_location_address__country_code_if_outside_us",
 )
 
+# Further columns of the main file, for the checks that take all published ones.
+MORE_COLUMNS = f"""
+          CASE WHEN o_orderpriority = '1-URGENT' THEN 'DR.' END AS provider_name_prefix_text,
+          CASE WHEN o_orderstatus = 'P' THEN 'JR.' END AS provider_name_suffix_text,
+          CASE WHEN NOT {ORGANISATION} THEN substring(o_orderpriority, 1, 1) || 'D' END
+            AS provider_credential_text,
+          CASE WHEN o_orderpriority = '2-HIGH' THEN 'MS.' END AS provider_other_name_prefix_text,
+          CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'SR.' END AS provider_other_name_suffix_text,
+          CASE WHEN o_orderstatus = 'O' THEN substring(o_orderpriority, 1, 1) || 'N' END
+            AS provider_other_credential_text,
+          CASE WHEN {ORGANISATION} AND o_orderstatus = 'O' THEN n_name || ' ' || c_name END
+            AS provider_other_organization_name,
+          CASE WHEN {ORGANISATION} AND o_orderstatus = 'O' THEN substring(o_orderpriority, 1, 1) END
+            AS provider_other_organization_name_type_code,
+          lpad(CAST(n_nationkey * 7919 + length(o_orderpriority) AS string), 10, '5')
+            AS provider_business_practice_location_address_telephone_number,
+          CASE WHEN o_orderstatus = 'O' THEN lpad(CAST(n_nationkey AS string), 10, '6') END
+            AS provider_business_practice_location_address_fax_number,
+          lpad(CAST(n_nationkey * 104729 AS string), 10, '7')
+            AS provider_business_mailing_address_telephone_number,
+          CASE WHEN o_orderstatus = 'F' THEN lpad(o_orderpriority, 10, '8') END
+            AS provider_business_mailing_address_fax_number,
+          make_date(CAST(1990 + c_custkey % 10 AS int), 1, 1) AS provider_enumeration_date,
+          {SNAPSHOT} AS last_update_date,
+          CASE WHEN o_orderpriority = '3-MEDIUM' THEN make_date(2001, 2, 3) END
+            AS npi_reactivation_date,
+          CASE WHEN {ORGANISATION} THEN NULL WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END
+            AS provider_gender_code,
+          CASE o_orderstatus WHEN 'O' THEN 'Y' WHEN 'F' THEN 'N' ELSE 'X' END AS is_sole_proprietor,
+          CASE WHEN o_orderstatus = 'F' THEN {SNAPSHOT} END AS certification_date,
+          CASE WHEN {ORGANISATION} AND o_orderstatus = 'O' THEN 'PARENT OF ' || c_name END
+            AS parent_organization_lbn,
+          CASE WHEN {ORGANISATION} THEN n_name || ' ' || o_orderstatus END
+            AS authorized_official_last_name,
+          CASE WHEN {ORGANISATION} THEN r_name END AS authorized_official_first_name,
+          CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'M' END
+            AS authorized_official_middle_name,
+          CASE WHEN {ORGANISATION} THEN o_orderpriority END
+            AS authorized_official_title_or_position,
+          CASE WHEN {ORGANISATION} THEN lpad(CAST(length(n_name) AS string), 10, '9') END
+            AS authorized_official_telephone_number,
+          CASE WHEN {ORGANISATION} THEN CASE o_orderstatus WHEN 'F' THEN 'Y' ELSE 'N' END END
+            AS is_organization_subpart,
+          CASE WHEN {ORGANISATION} THEN substring(o_orderpriority, 3, 2) END
+            AS authorized_official_name_prefix_text,
+          CASE WHEN o_orderstatus = 'P' THEN 'II' END AS authorized_official_name_suffix_text,
+          CASE WHEN {ORGANISATION} AND o_orderstatus = 'F' THEN r_name || ' MD' END
+            AS authorized_official_credential_text,"""
+
 FRAMES = {
     "snapshot_rows": """
         SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderdate, o_totalprice,
@@ -99,6 +148,9 @@ FRAMES = {
             AS provider_other_last_name_type_code,
           {SNAPSHOT} AS _input_file_date
         FROM {{snapshot_rows}}""",
+    "group_slots": """
+        SELECT l_orderkey, l_linenumber, '193' || max(l_returnflag) AS group_code
+        FROM {lineitem} WHERE l_linestatus = 'O' GROUP BY l_orderkey, l_linenumber""",
     "slots": """
         SELECT l_orderkey, l_linenumber,
           '20' || max(l_returnflag) || '0' || max(l_linestatus) AS code,
@@ -216,6 +268,14 @@ FRAMES = {
         FROM (SELECT key_b AS address_key, lat, lng FROM {located_rows}
               UNION ALL SELECT key_m AS address_key, lat, lng FROM {located_rows}) AS k""",
 }
+FRAMES["npidata_all"] = FRAMES["npidata"].replace(
+    f"{SNAPSHOT} AS _input_file_date", f"{MORE_COLUMNS} {SNAPSHOT} AS _input_file_date"
+)
+# The same rows as yearly snapshots, so that the newest one has many providers.
+FRAMES["npidata_yearly"] = FRAMES["npidata"].replace(
+    f"{SNAPSHOT} AS _input_file_date", f"{YEARLY} AS _input_file_date"
+)
+FRAMES["located_yearly"] = FRAMES["located_rows"].replace("{npidata}", "{npidata_yearly}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -256,8 +316,11 @@ def with_frames(query: str) -> str:
     return f"WITH {ctes} {body}"
 
 
-def npidata_with_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``npidata`` with its slot arrays, as the snapshot store holds them."""
+def npidata_with_slots(
+    spark: SparkSession, sf_dir: str, rows: str = "npidata"
+) -> DataFrame:
+    """``npidata`` with its slot arrays, as the snapshot store holds them; all three, if ``rows`` is
+    ``npidata_all``."""
     tax = ["code", "license_number", "license_state", "primary_switch"]
     ids = ["identifier", "type_code", "state", "issuer"]
     lines = F.sort_array(
@@ -273,7 +336,21 @@ def npidata_with_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("_l.i").alias("other_provider_identifiers"),
         )
     )
-    return frame(spark, sf_dir, "npidata").join(arrays, "o_orderkey", "left")
+    with_arrays = frame(spark, sf_dir, rows).join(arrays, "o_orderkey", "left")
+    if rows == "npidata":
+        return with_arrays
+    groups = (
+        frame(spark, sf_dir, "group_slots")
+        .groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "group_code"))).alias("_l"))
+        .select(
+            F.col("l_orderkey").alias("o_orderkey"),
+            F.transform("_l", lambda x: F.struct(x["group_code"].alias("taxonomy_group"))).alias(
+                "healthcare_provider_taxonomy_groups"
+            ),
+        )
+    )
+    return with_arrays.join(groups, "o_orderkey", "left")
 
 
 def wide_main_file(spark: SparkSession, sf_dir: str) -> DataFrame:

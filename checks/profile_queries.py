@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.address_queries import COLOCATION_SQL, colocated
 from checks.frames import frame, npidata_with_slots, table
 from checks.history_queries import (
     ENDPOINT_SQL,
@@ -15,7 +18,7 @@ from checks.history_queries import (
     TAXONOMY_SQL,
 )
 from checks.registry import check
-from rosterline.functions.fixed import SIZE_BUCKETS, SNAPSHOT_DATE
+from rosterline.functions.fixed import CHANGE_COLUMNS, SIZE_BUCKETS, SNAPSHOT_DATE
 from rosterline.operators.affiliations import (
     affiliation_edges,
     affiliation_groups,
@@ -24,7 +27,6 @@ from rosterline.operators.affiliations import (
     employer_roster,
 )
 from rosterline.operators.lookup import (
-    SEARCH_FIELDS,
     browse,
     by_key,
     search_text,
@@ -34,11 +36,21 @@ from rosterline.operators.lookup import (
 from rosterline.operators.payments import all_payments, payments_by_provider
 from rosterline.operators.rollups import also_known_as, clinician_facts, optout_dates, token_list
 from rosterline.operators.snapshots import change_frequency, latest_partition, latest_per_key
+from rosterline.operators.word_store import (
+    document_frequency,
+    read_word_store,
+    search_store,
+    write_word_store,
+)
 from rosterline.plans.flow import OutsideTables, RegistryTables, profile_flow
 from rosterline.plans.histories import otherid_se, othername_se
+from rosterline.plans.profile import (
+    PROFILE_COLUMNS as BASE,
+)
 from rosterline.plans.profile import (
     profile_continuations,
     read_documents,
+    search_rows,
     with_search_text,
     write_directory,
     write_documents,
@@ -75,32 +87,43 @@ def latest_per_key_query(spark: SparkSession, sf: str) -> DataFrame:
     ).select("o_orderkey", "npi", "entity_type_code", SNAPSHOT_DATE)
 
 
-CHANGING = [
-    "provider_last_name_legal_name",
-    "provider_middle_name",
-    "provider_other_last_name",
-    "provider_other_last_name_type_code",
-    "provider_first_line_business_practice_location_address",
-    "provider_second_line_business_practice_location_address",
-    "provider_second_line_business_mailing_address",
-    "provider_business_practice_location_address_city_name",
-    "_input_file_date",
-]
+PACKED_SQL = """
+    (SELECT * FROM {npidata_all} LEFT JOIN (
+       SELECT l_orderkey AS o_orderkey,
+         string_agg(concat_ws('^', code, license_number, license_state, primary_switch), '|'
+           ORDER BY l_linenumber) AS healthcare_provider_taxonomies,
+         string_agg(concat_ws('^', identifier, type_code, state, issuer), '|'
+           ORDER BY l_linenumber) AS other_provider_identifiers
+       FROM {slots} GROUP BY 1) AS s USING (o_orderkey)
+     LEFT JOIN (
+       SELECT l_orderkey AS o_orderkey, string_agg(group_code, '|' ORDER BY l_linenumber)
+         AS healthcare_provider_taxonomy_groups
+       FROM {group_slots} GROUP BY 1) AS g USING (o_orderkey)) AS packed"""
+PER_KEY_SQL = f"""
+    SELECT entity_type_code, npi, {", ".join(f"count(DISTINCT {c}) AS {c}" for c in CHANGE_COLUMNS)}
+    FROM {PACKED_SQL} WHERE entity_type_code IS NOT NULL GROUP BY 1, 2"""
+CHANGE_SQL = f"""
+    SELECT entity_type_code, colname, round(avg(n), 9) AS change_freq
+    FROM (UNPIVOT ({PER_KEY_SQL}) ON {", ".join(CHANGE_COLUMNS)} INTO NAME colname VALUE n) AS u
+    WHERE n > 0 GROUP BY 1, 2"""
+
+
+def _changes(spark: SparkSession, sf: str, **options) -> DataFrame:
+    npidata = npidata_with_slots(spark, sf, "npidata_all")
+    rates = change_frequency(npidata, CHANGE_COLUMNS, **options)
+    return rates.withColumn("change_freq", F.round("change_freq", 9))
 
 
-@check(
-    "change_frequency",
-    " UNION ALL ".join(
-        f"""SELECT entity_type_code, '{c}' AS colname, round(avg(n), 9) AS change_freq FROM (
-              SELECT entity_type_code, npi, count(DISTINCT {c}) AS n FROM {{npidata}}
-              WHERE entity_type_code IS NOT NULL AND {c} IS NOT NULL GROUP BY 1, 2) AS t
-            GROUP BY 1"""
-        for c in CHANGING
-    ),
-)
+@check("change_frequency", CHANGE_SQL)
 def change_frequency_query(spark: SparkSession, sf: str) -> DataFrame:
-    rates = change_frequency(frame(spark, sf, "npidata"), CHANGING)
-    return rates.withColumn("change_freq", F.round("change_freq", 9))
+    """All published columns, the three folded arrays among them."""
+    return _changes(spark, sf)
+
+
+@check("change_frequency_crowded", CHANGE_SQL)
+def change_frequency_crowded_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Providers of more than ten rows are counted apart, as crowded ones are."""
+    return _changes(spark, sf, crowded_rows=10)
 
 
 PAYMENT_ROWS_SQL = " UNION ALL ".join(
@@ -291,36 +314,32 @@ PROFILE_FACTS = {
     "med_sch, grd_yr, telephone_number": NDF_SQL,
     "aka": AKA_SQL,
 }
-BASE = [
-    "npi",
-    "entity_type_code",
-    "provider_organization_name_legal_business_name",
-    "provider_last_name_legal_name",
-    "provider_first_name",
-    "provider_middle_name",
-    "provider_first_line_business_practice_location_address",
-    "provider_business_practice_location_address_city_name",
-    "provider_business_practice_location_address_state_name",
-    "_input_file_date",
-]
-PROFILE_COLUMNS = [*BASE, *", ".join([*PROFILE_FACTS, *PROFILE_LISTS]).split(", ")]
+NEIGHBOURS = {"h3_b, h3_m, npi_cnt_b, npi_cnt_m, npi_lst_b, npi_lst_m": COLOCATION_SQL}
+SIDES = {**PROFILE_FACTS, **NEIGHBOURS, **PROFILE_LISTS}
+PROFILE_COLUMNS = [*BASE, *", ".join(SIDES).split(", ")]
 SEARCH_SQL = """
     concat_ws(' ', provider_first_name, provider_last_name_legal_name,
       provider_organization_name_legal_business_name, aka) AS name_search,
     concat_ws(', ', provider_first_line_business_practice_location_address,
       provider_business_practice_location_address_city_name,
       provider_business_practice_location_address_state_name) AS address_search"""
-PROFILE_JOINS = " ".join(
-    f"LEFT JOIN (SELECT npi, {columns} FROM ({sql}) AS s{i}) AS j{i} USING (npi)"
-    for i, (columns, sql) in enumerate({**PROFILE_FACTS, **PROFILE_LISTS}.items())
-)
+
+
+def joins_sql(sides: dict[str, str]) -> str:
+    return " ".join(
+        f"LEFT JOIN (SELECT npi, {columns} FROM ({sql}) AS s{i}) AS j{i} USING (npi)"
+        for i, (columns, sql) in enumerate(sides.items())
+    )
+
+
+LATEST_ALL_SQL = LATEST_SQL.replace("{npidata}", "{npidata_all}")
 PROFILE_SQL = f"""
     SELECT {", ".join(PROFILE_COLUMNS)}, {SEARCH_SQL}, FALSE AS more_parts
-    FROM ({LATEST_SQL}) AS latest {PROFILE_JOINS}"""
+    FROM ({LATEST_ALL_SQL}) AS latest {joins_sql(SIDES)}"""
 
 
 def _tables(spark: SparkSession, sf: str) -> tuple[RegistryTables, OutsideTables]:
-    npidata = staged(npidata_with_slots(spark, sf), "npidata")
+    npidata = staged(npidata_with_slots(spark, sf, "npidata_all"), "npidata")
     registry = RegistryTables(
         npidata,
         *[frame(spark, sf, n) for n in ("othername", "endpoint", "pl", "taxonomy_lookup")],
@@ -340,7 +359,7 @@ def _tables(spark: SparkSession, sf: str) -> tuple[RegistryTables, OutsideTables
 
 
 def _as_text(profile: DataFrame) -> DataFrame:
-    lists = [*PROFILE_LISTS, "employees"]
+    lists = [*PROFILE_LISTS, "employees", "npi_lst_b", "npi_lst_m"]
     return profile.withColumns({c: F.array_join(c, ";") for c in lists}).select(
         *PROFILE_COLUMNS, "name_search", "address_search", "more_parts"
     )
@@ -348,10 +367,37 @@ def _as_text(profile: DataFrame) -> DataFrame:
 
 @check("provider_profile", PROFILE_SQL)
 def profile_query(spark: SparkSession, sf: str) -> DataFrame:
-    profile, _ = profile_flow(*_tables(spark, sf))
+    """All base columns, all outside tables, and the neighbours of both addresses."""
+    _, neighbours = colocated(spark, sf)
+    profile, _ = profile_flow(*_tables(spark, sf), neighbours)
     return _as_text(profile)
 
 
+@check(
+    "provider_profile_parts",
+    f"""SELECT npi, field, token FROM (
+          {" UNION ALL ".join(
+              f"SELECT npi, '{out}' AS field, unnest(string_split({out}, ';')) AS token "
+              f"FROM ({sql}) AS {out}_rows" for out, sql in PROFILE_LISTS.items())}
+          UNION ALL SELECT DISTINCT npi, 'aka', othername FROM ({OTHERNAME_SQL}) AS o) AS t
+        WHERE npi IN (SELECT npi FROM ({LATEST_ALL_SQL}) AS l)""",
+)
+def profile_parts_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists of more than three items are cut: rows and continuations hold every item."""
+    profile, further = profile_flow(*_tables(spark, sf), max_items=3)
+    inner = F.expr("substring(aka, 2, length(aka) - 2)")
+    lists = {**{c: F.col(c) for c in PROFILE_LISTS}, "aka": F.split(inner, ", ")}
+    held = profile.dropDuplicates(["npi"])
+    rows = [
+        held.select("npi", F.lit(c).alias("field"), F.explode(x).alias("token"))
+        for c, x in lists.items()
+    ]
+    rest = further.join(held.select("npi"), "npi", "left_semi").select(
+        "npi", "field", F.explode("items").alias("token")
+    )
+    return reduce(DataFrame.unionByName, rows).unionByName(rest)
+
+
 @check(
     "search_columns",
     f"SELECT o_orderkey, {SEARCH_SQL} FROM (SELECT *, o_orderkey || ' aka' AS aka "
@@ -448,23 +494,38 @@ def search_documents_query(spark: SparkSession, sf: str) -> DataFrame:
     return search_text(table(spark, sf, "documents"), ["the", "de", "und"], "doc_id", ["text"], 100)
 
 
+SEARCHED = ["Furniture", "NATION", "africa", "specialty", "o", "nosuchword"]
+
+
 @check(
     "search_profiles",
     search_sql(
-        f"(SELECT *, npi || ' ' || name_search || ' ' || address_search AS whole "
-        f"FROM (SELECT o_orderkey, npi, {SEARCH_SQL} FROM (SELECT *, NULL AS aka "
-        f"FROM ({LATEST_SQL}) AS l) AS a) AS s) AS t",
-        "o_orderkey", "whole", ["furniture", "nation", "africa", "ste"], 300,
+        f"(SELECT npi, concat_ws(' ', npi, name_search, address_search, reval_specialty) AS whole "
+        f"FROM (SELECT npi, reval_specialty, {SEARCH_SQL} FROM ({LATEST_ALL_SQL}) AS latest "
+        f"{joins_sql(PROFILE_FACTS)}) AS p) AS t",
+        "npi", "whole", [w.lower() for w in SEARCHED], 300,
     ),
 )
 def search_profiles_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Words in number, name and address of the newest row of every provider."""
-    columns = [*BASE[1:-1], "o_orderkey"]
-    profiles = with_search_text(latest_per_key(frame(spark, sf, "npidata"), columns=columns))
-    fields = [f for f in SEARCH_FIELDS if f in profiles.columns]
-    return search_text(
-        profiles, ["Furniture", "NATION", "africa", "ste"], "o_orderkey", fields, 300
-    )
+    """Words in number, names, address and specialty of the profiles, out of a stored index.
+
+    Lists have two items a part, so most other names are in the continuations."""
+    profile, further = profile_flow(*_tables(spark, sf), max_items=2)
+    path = work_folder(spark, "word-store")
+    write_word_store(search_rows(staged(profile, "profile"), further), "npi", ["text"], path)
+    return search_store(read_word_store(spark, path), SEARCHED, "npi", 300)
+
+
+@check(
+    "document_frequency",
+    f"""SELECT word, count(*) AS documents, CAST(sum(hits) AS bigint) AS hits
+        FROM ({WORDS_SQL.format(source="documents", key="doc_id", text="text")}) AS i
+        WHERE word IN ('the', 'de', 'und') GROUP BY word""",
+)
+def document_frequency_query(spark: SparkSession, sf: str) -> DataFrame:
+    path = work_folder(spark, "word-store")
+    write_word_store(table(spark, sf, "documents"), "doc_id", ["text"], path)
+    return document_frequency(read_word_store(spark, path), ["the", "DE", "und", "nosuchword"])
 
 
 @check(

@@ -122,3 +122,59 @@ PL_COLUMNS = {
     "postal_code": "provider_secondary_practice_location_address__postal_code",
     "country": "provider_secondary_practice_location_address__country_code_if_outside_us",
 }
+
+# Columns whose changes are published, for persons and organisations together.
+CHANGE_COLUMNS = [
+    "provider_last_name_legal_name",
+    "provider_first_name",
+    "provider_middle_name",
+    "provider_name_prefix_text",
+    "provider_name_suffix_text",
+    "provider_credential_text",
+    "provider_other_last_name",
+    "provider_other_first_name",
+    "provider_other_middle_name",
+    "provider_other_name_prefix_text",
+    "provider_other_name_suffix_text",
+    "provider_other_credential_text",
+    "provider_other_last_name_type_code",
+    "provider_organization_name_legal_business_name",
+    "provider_other_organization_name",
+    "provider_other_organization_name_type_code",
+    "provider_first_line_business_mailing_address",
+    "provider_second_line_business_mailing_address",
+    "provider_business_mailing_address_city_name",
+    "provider_business_mailing_address_state_name",
+    "provider_business_mailing_address_postal_code",
+    "provider_business_mailing_address_country_code_if_outside_us",
+    "provider_business_mailing_address_telephone_number",
+    "provider_business_mailing_address_fax_number",
+    "provider_first_line_business_practice_location_address",
+    "provider_second_line_business_practice_location_address",
+    "provider_business_practice_location_address_city_name",
+    "provider_business_practice_location_address_state_name",
+    "provider_business_practice_location_address_postal_code",
+    "provider_business_practice_location_address_country_code_if_outside_us",
+    "provider_business_practice_location_address_telephone_number",
+    "provider_business_practice_location_address_fax_number",
+    "provider_enumeration_date",
+    "last_update_date",
+    "npi_reactivation_date",
+    "provider_gender_code",
+    "is_sole_proprietor",
+    "authorized_official_last_name",
+    "authorized_official_first_name",
+    "authorized_official_middle_name",
+    "authorized_official_title_or_position",
+    "authorized_official_telephone_number",
+    "is_organization_subpart",
+    "parent_organization_lbn",
+    "authorized_official_name_prefix_text",
+    "authorized_official_name_suffix_text",
+    "authorized_official_credential_text",
+    "certification_date",
+    "healthcare_provider_taxonomies",
+    "other_provider_identifiers",
+    "healthcare_provider_taxonomy_groups",
+    "_input_file_date",
+]

@@ -171,3 +171,54 @@ def first_n(
     )
     counts = members.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_out))
     return counts.join(shown, keys, "inner")
+
+
+def placed_fields(
+    items: dict[str, DataFrame],
+    key: str,
+    max_items: int = MAX_ITEMS,
+    max_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """``key, field, item, part, _load``: the items of several lists, each of ``key`` and one other
+    column, in one table and with the parts that they go to."""
+    rows = [
+        df.select(key, F.lit(field).alias("field"), F.col(_other(df, key)).alias("item"))
+        for field, df in items.items()
+    ]
+    together = reduce(DataFrame.unionByName, rows)
+    return with_part(together, [key, "field"], F.col("item"), None, max_items, max_keys)
+
+
+def _other(df: DataFrame, key: str) -> str:
+    (column,) = [c for c in df.columns if c != key]
+    return column
+
+
+def first_fields(placed: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """``key``, the first part of every field's list, and ``more``: whether any has further parts.
+
+    One shuffle, by ``key``, builds the lists of all fields; a field without items is null.
+    """
+    lists = (
+        placed.where(F.col("part") == 0)
+        .repartition(key)
+        .groupBy(key, "field")
+        .agg(F.sort_array(F.collect_list("item")).alias("items"), F.max("_load").alias("_load"))
+        .groupBy(key)
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("field", "items"))).alias("_lists"),
+            F.max(F.coalesce(F.col("_load") > F.size("items"), F.lit(False))).alias("more"),
+        )
+    )
+    return lists.select(
+        key, *[F.try_element_at("_lists", F.lit(f)).alias(f) for f in fields], "more"
+    )
+
+
+def further_fields(placed: DataFrame, key: str) -> DataFrame:
+    """``key, field, part, items`` of the parts that follow the first."""
+    return (
+        placed.where(F.col("part") > 0)
+        .groupBy(key, "field", "part")
+        .agg(F.sort_array(F.collect_list("item")).alias("items"))
+    )

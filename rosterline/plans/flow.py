@@ -5,15 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rosterline.operators.affiliations import (
     affiliation_edges,
-    affiliation_groups,
     affiliation_summary,
     employer_directory,
     employer_roster,
 )
 from rosterline.operators.fold import TAXONOMIES
+from rosterline.operators.lists import MAX_ITEMS, first_fields, further_fields, placed_fields
 from rosterline.operators.payments import all_payments, payments_by_provider
 from rosterline.operators.places import (
     address_cells,
@@ -21,7 +22,7 @@ from rosterline.operators.places import (
     colocation_lists,
     located_providers,
 )
-from rosterline.operators.rollups import also_known_as, clinician_facts, optout_dates, token_list
+from rosterline.operators.rollups import clinician_facts, optout_dates
 from rosterline.operators.snapshots import latest_partition
 from rosterline.plans.histories import (
     array_runs,
@@ -32,8 +33,8 @@ from rosterline.plans.histories import (
     pl_se,
     taxonomy_se_of,
 )
-from rosterline.plans.profile import profile_base, profile_continuations, provider_profile
-from rosterline.session import staged
+from rosterline.plans.profile import joined_profile, profile_base, profile_continuations
+from rosterline.session import staged, staged_buckets, staged_together
 
 
 @dataclass(frozen=True)
@@ -108,53 +109,64 @@ def profile_facts(outside: OutsideTables, edges: DataFrame | None) -> list[DataF
     return facts
 
 
-def profile_lists(
-    histories: dict[str, DataFrame],
-    outside: OutsideTables,
-    edges: DataFrame | None,
-    payments: DataFrame | None,
-    first_only: bool,
-) -> list[DataFrame]:
-    """All list columns of the profile, as first parts or with every part."""
-    how = {"first_only": first_only}
-    lists = [] if edges is None else [affiliation_groups(edges, **how)]
+def list_items(
+    histories: dict[str, DataFrame], outside: OutsideTables, edges: DataFrame | None
+) -> dict[str, DataFrame]:
+    """npi and item of every list column of the profile, but for the payments."""
     tokens = {**histories, "otherids_ccn": outside.otherid_ccn_se}
-    lists += [
-        token_list(history, TOKEN_COLUMNS[name], name, **how)
+    items = {
+        name: history.select("npi", TOKEN_COLUMNS[name])
         for name, history in tokens.items()
         if history is not None
-    ]
+    }
+    if edges is not None:
+        of = edges.select(F.col("individual_npi").alias("npi"), "group_name_npi")
+        items["groups"] = of.dropna().distinct()
     if "othernames" in histories:
-        lists.append(also_known_as(histories["othernames"], with_held=True, **how))
-    if payments is not None:
-        lists.append(payments_by_provider(payments, **how))
-    return lists
+        items["aka"] = histories["othernames"].select("npi", "othername").distinct()
+    return items
 
 
 def profile_flow(
-    tables: RegistryTables, outside: OutsideTables, neighbours: DataFrame | None = None
+    tables: RegistryTables,
+    outside: OutsideTables,
+    neighbours: DataFrame | None = None,
+    max_items: int = MAX_ITEMS,
 ) -> tuple[DataFrame, DataFrame]:
     """Provider profile, and the continuations of lists that are too long for one row.
 
-    The start-end tables, the affiliation edges and the payments are written once, as both results
-    and several columns are made of them.
+    All lists but the payments are built by one aggregation. The sides are written in buckets of
+    npi, each once, so that the join of the profile shuffles nothing.
     """
-    histories = {name: staged(df, name) for name, df in history_tables(tables).items()}
-    edges = None
+    together = history_tables(tables)
     if outside.reval is not None and outside.pc_provider is not None:
-        edges = staged(affiliation_edges(outside.reval, outside.pc_provider), "edges")
-    facts = profile_facts(outside, edges)
-    if neighbours is not None:
-        facts.append(neighbours.drop("entity_type_code", "name"))
-    payments = None
+        together["edges"] = affiliation_edges(outside.reval, outside.pc_provider)
     if outside.general_payments is not None and outside.research_payments is not None:
-        payments = staged(
-            all_payments(outside.general_payments, outside.research_payments), "payments"
+        paid = all_payments(outside.general_payments, outside.research_payments)
+        together["payments"] = payments_by_provider(paid, max_items)
+    histories = staged_together(together)
+    edges, payments = histories.pop("edges", None), histories.pop("payments", None)
+    items = list_items(histories, outside, edges)
+    placed = staged(placed_fields(items, "npi", max_items), "items")
+    lists = first_fields(placed, "npi", list(items))
+    if "aka" in items:
+        names = F.concat(F.lit("("), F.array_join("aka", ", "), F.lit(")"))
+        lists = lists.withColumn("aka", names)
+    further = further_fields(placed, "npi")
+    sides = {"lists": lists}
+    for i, fact in enumerate(profile_facts(outside, edges)):
+        sides[f"fact-{i}"] = fact
+    if payments is not None:
+        more = F.col("total") > F.size("openpayments")
+        sides["payments"] = payments.where(F.col("part") == 0).select(
+            "npi", "openpayments", more.alias("more")
         )
-    first = profile_lists(histories, outside, edges, payments, first_only=True)
-    every = profile_lists(histories, outside, edges, payments, first_only=False)
-    base = staged(profile_base(tables.npidata), "base")
-    return provider_profile(base, facts, first), profile_continuations(every)
+        further = further.unionByName(profile_continuations([payments]))
+    if neighbours is not None:
+        sides["neighbours"] = neighbours.drop("entity_type_code", "name")
+    bucketed = [staged_buckets(side, name, "npi") for name, side in sides.items()]
+    base = staged_buckets(profile_base(tables.npidata), "base", "npi")
+    return joined_profile(base, bucketed), further
 
 
 def directory_flow(outside: OutsideTables) -> DataFrame:

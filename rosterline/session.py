@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,12 +55,19 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-#: Folders that ``staged`` has written in this process and that ``clear_staged`` deletes.
+#: Folders that ``staged`` has written in this process and that ``clear_staged`` deletes, and the
+#: names of those that are tables in buckets.
 STAGED: list[str] = []
+BUCKETED: list[str] = []
+
+#: Tables that are written at the same time.
+AT_ONCE = 4
 
 
 def clear_staged(spark: SparkSession) -> None:
     """Delete the staged tables; for when the results that read them have been written."""
+    while BUCKETED:
+        spark.sql(f"DROP TABLE IF EXISTS {BUCKETED.pop()}")
     while STAGED:
         root = spark._jvm.org.apache.hadoop.fs.Path(STAGED.pop())
         root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
@@ -74,3 +82,28 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     df.write.parquet(path)
     STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged_buckets(df: DataFrame, purpose: str, key: str) -> DataFrame:
+    """``df`` written in buckets of ``key``, as many as there are shuffle partitions.
+
+    Joins of such tables on their key need no shuffle. The rows are shuffled here, so that each
+    bucket is one file.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = work_folder(spark, purpose)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    STAGED.append(path)
+    BUCKETED.append(name)
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option(
+        "path", path
+    ).saveAsTable(name)
+    return spark.table(name)
+
+
+def staged_together(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``staged`` for several tables, some of them at the same time."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        made = list(pool.map(lambda item: staged(item[1], item[0]), tables.items()))
+    return dict(zip(tables, made, strict=True))
