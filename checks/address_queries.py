@@ -27,9 +27,10 @@ from rosterline.operators.places import (
     cell_organisations,
     located_providers,
     poi_matches,
+    read_poi_matches,
 )
 from rosterline.plans.flow import colocation
-from rosterline.session import staged
+from rosterline.session import staged, work_folder
 
 STEP = cell_step()
 
@@ -351,10 +352,11 @@ def colocation_lists_query(spark: SparkSession, sf: str) -> DataFrame:
     "poi_matches",
     """
     SELECT CAST(c_custkey AS varchar) AS npi, 'poi' || c_custkey AS overture_id,
-      'pk' AS placekey, CAST(NULL AS varchar) AS address_placekey, '' AS building_placekey,
+      'pk' AS placekey, CAST(NULL AS varchar) AS address_placekey,
+      CAST(NULL AS varchar) AS building_placekey,
       CASE WHEN ok THEN CAST(c_custkey || '.5' AS double) END AS pk_latitude,
       CASE WHEN ok THEN CAST('-' || c_nationkey || '.25' AS double) END AS pk_longitude,
-      CASE WHEN ok THEN c_name ELSE '' END AS pk_primary_name,
+      CASE WHEN ok THEN c_name || chr(10) || 'and "Co"' ELSE '' END AS pk_primary_name,
       CASE WHEN ok THEN 'clinic' ELSE '' END AS pk_category_main,
       CASE WHEN ok THEN 'a; b' ELSE '' END AS pk_category_others,
       CASE WHEN ok THEN CAST(c_nationkey || '.5' AS double) END AS pk_confidence,
@@ -367,6 +369,7 @@ def colocation_lists_query(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def poi_matches_query(spark: SparkSession, sf: str) -> DataFrame:
+    """From a match file with line breaks and quotes inside its fields."""
     ok = F.col("c_acctbal") >= 0
     key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
 
@@ -384,7 +387,7 @@ def poi_matches_query(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("string").alias("address_placekey"),
         F.lit("").alias("building_placekey"),
         when_ok("POINT (-", nation, ".25 ", key, ".5)", other="POINT (1.5 x)").alias("geometry"),
-        when_ok('{"primary": "', name, '", "common": null}').alias("names"),
+        when_ok('{"primary": "', name, '\\nand \\"Co\\""', ',\n "common": null}').alias("names"),
         when_ok('{"main": "clinic", "alternate": ["a", "b"]}').alias("categories"),
         when_ok(nation, ".5", other="n/a").alias("confidence"),
         when_ok("[http://", F.lower(segment), "]").alias("websites"),
@@ -396,4 +399,7 @@ def poi_matches_query(spark: SparkSession, sf: str) -> DataFrame:
             '", "region": "ma", "postcode": "02139-1", "country": "us"}, {}]',
         ).alias("addresses"),
     )
-    return poi_matches(raw).drop("last_updated")
+    path = work_folder(spark, "match-file")
+    lines = raw.withColumns({c: F.coalesce(c, F.lit("")) for c in raw.columns if c != "c_acctbal"})
+    lines.write.options(header=True, quoteAll=True, escape="\\").csv(path)
+    return poi_matches(read_poi_matches(spark, path)).drop("last_updated")

@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 from checks.frames import frame, npidata_with_slots, table
 from checks.registry import check, intervals_sql
-from rosterline.functions.fixed import OTHER_ID_CORRECTIONS, OTHER_ID_TYPES, OTHER_NAME_TYPES
+from rosterline.functions.fixed import (
+    OTHER_ID_CORRECTIONS,
+    OTHER_ID_TYPES,
+    OTHER_NAME_TYPES,
+    SNAPSHOT_DATE,
+)
 from rosterline.operators.fold import OTHER_IDS, pack
 from rosterline.operators.history import apply_corrections, code_label, code_lookup, se_intervals
 from rosterline.plans.histories import (
+    OTHERIDS,
+    PLACES,
+    History,
     endpoint_se,
     license_se,
     otherid_se,
@@ -18,8 +26,11 @@ from rosterline.plans.histories import (
     otherid_se_packed,
     othername_se,
     pl_se,
+    taxonomies,
     taxonomy_se,
 )
+from rosterline.plans.kept_histories import read_history, update_history
+from rosterline.session import staged, work_folder
 
 
 def labels_sql(code: str, labels: dict[str, str]) -> str:
@@ -253,3 +264,32 @@ def endpoint_se_query(spark: SparkSession, sf: str) -> DataFrame:
 @check("pl_se", PL_SQL)
 def pl_se_query(spark: SparkSession, sf: str) -> DataFrame:
     return pl_se(frame(spark, sf, "pl"))
+
+
+# Months, all years together, in an order in which most are late; one comes twice.
+ARRIVALS = [7, 1, 12, 3, 9, 10, 2, 6, 3, 4, 11, 5, 8]
+
+
+def _kept(spark: SparkSession, history: History, rows: DataFrame) -> DataFrame:
+    """The start-end table after the snapshots of twelve months, one call for each."""
+    path = work_folder(spark, "history")
+    rows = staged(rows, "snapshots")
+    for month in ARRIVALS:
+        update_history(spark, path, history, rows.where(F.month(SNAPSHOT_DATE) == month))
+    return read_history(spark, path, history)
+
+
+@check("kept_otherids", OTHERID_SQL)
+def kept_otherids_query(spark: SparkSession, sf: str) -> DataFrame:
+    return _kept(spark, OTHERIDS, npidata_with_slots(spark, sf))
+
+
+@check("kept_places", PL_SQL)
+def kept_places_query(spark: SparkSession, sf: str) -> DataFrame:
+    return _kept(spark, PLACES, frame(spark, sf, "pl"))
+
+
+@check("kept_taxonomies", TAXONOMY_SQL)
+def kept_taxonomies_query(spark: SparkSession, sf: str) -> DataFrame:
+    lookup = frame(spark, sf, "taxonomy_lookup")
+    return _kept(spark, taxonomies(lookup), npidata_with_slots(spark, sf))

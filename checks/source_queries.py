@@ -9,7 +9,13 @@ from checks.frames import frame, npidata_with_slots, table, wide_main_file
 from checks.registry import check
 from rosterline.functions.dates import parse_us_date
 from rosterline.functions.text import header_name, normalize_header
-from rosterline.operators.fold import OTHER_IDS, TAXONOMIES, fold_repeated_groups, pack
+from rosterline.operators.fold import (
+    OTHER_IDS,
+    TAXONOMIES,
+    TAXONOMY_GROUPS,
+    fold_repeated_groups,
+    pack,
+)
 from rosterline.session import work_folder
 from rosterline.sources.headers import header_schema
 from rosterline.sources.manifest import (
@@ -298,6 +304,42 @@ def ingest_side_files_query(spark: SparkSession, sf: str) -> DataFrame:
     return read_side_files(spark, paths).select(*names, "_input_file_date")
 
 
+@check(
+    "ingest_line_breaks",
+    """SELECT CAST(doc_id AS varchar) AS npi, md5(replace(text, chr(13) || chr(10), chr(10))) AS text,
+         lang, DATE '2024-01-07' AS _input_file_date FROM documents""",
+)
+def ingest_line_breaks_query(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of texts with line breaks, quotes and commas, read by ranges."""
+    raw = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("NPI"), F.col("text").alias("Text"), F.col("lang").alias("Lang")
+    )
+    path = _csv_folder(
+        raw.coalesce(1), work_folder(spark, "broken"), "othername_pfile_20050523-20240107"
+    )
+    read = read_side_files(spark, [path])
+    return read.select("npi", F.md5(F.col("text").cast("binary")).alias("text"), "lang", "_input_file_date")
+
+
+@check(
+    "fold_taxonomy_groups",
+    """SELECT l_orderkey AS o_orderkey, string_agg(group_code, '|' ORDER BY l_linenumber) AS groups
+       FROM {group_slots} GROUP BY 1""",
+)
+def fold_taxonomy_groups_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The third group of numbered columns, of one field."""
+    name = "healthcare_provider_taxonomy_group"
+    wide = (
+        frame(spark, sf, "group_slots")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .pivot("l_linenumber", list(range(1, 8)))
+        .agg(F.max("group_code"))
+    )
+    numbered = wide.select("o_orderkey", *[F.col(str(n)).alias(f"{name}_{n}") for n in range(1, 8)])
+    folded = fold_repeated_groups(numbered)
+    return folded.select("o_orderkey", pack(TAXONOMY_GROUPS.name, TAXONOMY_GROUPS).alias("groups"))
+
+
 @check(
     "ingest_deactivated",
     """SELECT npi, _input_file_date AS deactivation_date, DATE '2024-01-08' AS _input_file_date

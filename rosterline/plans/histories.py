@@ -6,6 +6,9 @@ Each table has the typed value columns, ``<prefix>_dt_s`` / ``<prefix>_dt_e`` an
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,22 +43,67 @@ def finish(df: DataFrame, prefix: str, values: list[str], token_col: str) -> Dat
     )
 
 
+@dataclass(frozen=True)
+class History:
+    """What a start-end table is made of: its values in each snapshot row, and its last steps.
+
+    ``seen`` gives ``npi``, the values and the snapshot date; ``table`` makes the published table
+    of their intervals.
+    """
+
+    prefix: str
+    values: tuple[str, ...]
+    seen: Callable[[DataFrame], DataFrame]
+    table: Callable[[DataFrame], DataFrame]
+
+    @property
+    def keys(self) -> list[str]:
+        return ["npi", *self.values]
+
+    @property
+    def dates(self) -> tuple[str, str]:
+        return f"{self.prefix}_dt_s", f"{self.prefix}_dt_e"
+
+
+# Value columns of the tables of slots, by the slot's field.
+OTHERID_VALUES = {
+    "other_id": "identifier",
+    "other_id_type_code": "type_code",
+    "other_id_state": "state",
+    "other_id_issuer": "issuer",
+}
+TAXONOMY_VALUES = {"taxonomy_code": "code", "is_main": "primary_switch"}
+LICENSE_VALUES = {"license_number": "license_number", "license_state": "license_state"}
+
+
+def _slot_values(fields: dict[str, str]) -> dict[str, Column]:
+    return {name: slot_field(field) for name, field in fields.items()}
+
+
+def _slots_seen(group: SlotGroup, fields: dict[str, str]) -> Callable[[DataFrame], DataFrame]:
+    def seen(rows: DataFrame) -> DataFrame:
+        slots = rows.select("npi", SNAPSHOT_DATE, F.explode(group.name).alias("_slot"))
+        values = [value.alias(name) for name, value in _slot_values(fields).items()]
+        return slots.select("npi", *values, SNAPSHOT_DATE)
+
+    return seen
+
+
 def array_runs(npidata: DataFrame, group: SlotGroup, gap_days: int = GAP_DAYS) -> DataFrame:
     """Histories of whole slot arrays, which the tables of single entries start from."""
     return array_intervals(npidata, "npi", group.name, SNAPSHOT_DATE, gap_days)
 
 
 def otherid_se(npidata: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
-    values = {
-        "other_id": slot_field("identifier"),
-        "other_id_type_code": slot_field("type_code"),
-        "other_id_state": slot_field("state"),
-        "other_id_issuer": slot_field("issuer"),
-    }
     runs = entry_intervals(
-        array_runs(npidata, OTHER_IDS, gap_days), "npi", OTHER_IDS.name, values, gap_days,
-        "other_id_dt_s", "other_id_dt_e",
+        array_runs(npidata, OTHER_IDS, gap_days), "npi", OTHER_IDS.name,
+        _slot_values(OTHERID_VALUES), gap_days, "other_id_dt_s", "other_id_dt_e",
     )
+    return otherid_table(runs)
+
+
+def otherid_table(runs: DataFrame) -> DataFrame:
+    values = [*OTHERID_VALUES]
     described = runs.where(F.col("other_id") != "").withColumn(
         "other_id_type_desc", code_label("other_id_type_code", OTHER_ID_TYPES)
     )
@@ -94,10 +142,14 @@ def taxonomy_se_of(
     runs: DataFrame, taxonomy_lookup: DataFrame, gap_days: int = GAP_DAYS
 ) -> DataFrame:
     """``taxonomy_se`` from the histories of whole taxonomy arrays."""
-    values = {"taxonomy_code": slot_field("code"), "is_main": slot_field("primary_switch")}
     entries = entry_intervals(
-        runs, "npi", TAXONOMIES.name, values, gap_days, "taxonomy_dt_s", "taxonomy_dt_e"
+        runs, "npi", TAXONOMIES.name, _slot_values(TAXONOMY_VALUES), gap_days,
+        "taxonomy_dt_s", "taxonomy_dt_e",
     )
+    return taxonomy_table(entries, taxonomy_lookup)
+
+
+def taxonomy_table(entries: DataFrame, taxonomy_lookup: DataFrame) -> DataFrame:
     described = code_lookup(
         entries.where(F.col("taxonomy_code") != ""),
         taxonomy_lookup,
@@ -116,15 +168,17 @@ def license_se(npidata: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
 
 def license_se_of(runs: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
     """``license_se`` from the histories of whole taxonomy arrays."""
-    values = {
-        "license_number": slot_field("license_number"),
-        "license_state": slot_field("license_state"),
-    }
     entries = entry_intervals(
-        runs, "npi", TAXONOMIES.name, values, gap_days, "license_dt_s", "license_dt_e"
+        runs, "npi", TAXONOMIES.name, _slot_values(LICENSE_VALUES), gap_days,
+        "license_dt_s", "license_dt_e",
     )
+    return license_table(entries)
+
+
+def license_table(entries: DataFrame) -> DataFrame:
     return finish(
-        entries.where(F.col("license_number") != ""), "license", list(values), "license_token"
+        entries.where(F.col("license_number") != ""),
+        "license", list(LICENSE_VALUES), "license_token",
     )
 
 
@@ -134,29 +188,44 @@ def othername_se(
     gap_days: int = GAP_DAYS,
 ) -> DataFrame:
     """Other names of organisations (side file) and of persons (main file), in one table."""
-    sources = []
+    seen = []
     if othername is not None:
-        sources.append(
-            _names(
-                othername,
-                or_empty("provider_other_organization_name"),
-                or_empty("provider_other_organization_name_type_code"),
-                gap_days,
-            )
-        )
+        seen.append(_organisation_names(othername))
     if npidata is not None:
-        person = joined(
-            " ",
-            "provider_other_first_name",
-            "provider_other_middle_name",
-            "provider_other_last_name",
-        )
-        sources.append(
-            _names(npidata, person, or_empty("provider_other_last_name_type_code"), gap_days)
+        seen.append(_person_names(npidata))
+    sources = [
+        se_intervals(
+            names, _NAME_KEYS, SNAPSHOT_DATE, gap_days, "othername_dt_s", "othername_dt_e"
         )
-    both = sources[0] if len(sources) == 1 else sources[0].unionByName(sources[1])
+        for names in seen
+    ]
+    return othername_table(sources[0] if len(sources) == 1 else sources[0].unionByName(sources[1]))
+
+
+_NAME_KEYS = ["npi", "othername", "othername_type_code"]
+
+
+def _organisation_names(othername: DataFrame) -> DataFrame:
+    return _names(
+        othername,
+        or_empty("provider_other_organization_name"),
+        or_empty("provider_other_organization_name_type_code"),
+    )
+
+
+def _person_names(npidata: DataFrame) -> DataFrame:
+    person = joined(
+        " ",
+        "provider_other_first_name",
+        "provider_other_middle_name",
+        "provider_other_last_name",
+    )
+    return _names(npidata, person, or_empty("provider_other_last_name_type_code"))
+
+
+def othername_table(names: DataFrame) -> DataFrame:
     return finish(
-        both.withColumn(
+        names.withColumn(
             "othername_type_desc", code_label("othername_type_code", OTHER_NAME_TYPES)
         ),
         "othername", ["othername", "othername_type_code", "othername_type_desc"],
@@ -164,34 +233,79 @@ def othername_se(
     )
 
 
-def _names(df: DataFrame, name: Column, type_code: Column, gap_days: int) -> DataFrame:
-    rows = df.select(
+def _names(df: DataFrame, name: Column, type_code: Column) -> DataFrame:
+    return df.select(
         "npi",
         name.alias("othername"),
         type_code.alias("othername_type_code"),
         SNAPSHOT_DATE,
     ).where(F.col("othername") != "")
-    keys = ["npi", "othername", "othername_type_code"]
-    return se_intervals(rows, keys, SNAPSHOT_DATE, gap_days, "othername_dt_s", "othername_dt_e")
 
 
 def endpoint_se(endpoint: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
-    rows = endpoint.select(
+    return _whole(ENDPOINTS, endpoint, gap_days)
+
+
+def _endpoints(endpoint: DataFrame) -> DataFrame:
+    return endpoint.select(
         "npi",
         or_empty("endpoint_type").alias("endpoint_type"),
         or_empty("endpoint").alias("endpoint"),
         SNAPSHOT_DATE,
     ).where(F.col("endpoint") != "")
-    keys = ["npi", "endpoint_type", "endpoint"]
-    runs = se_intervals(rows, keys, SNAPSHOT_DATE, gap_days, "endpoint_dt_s", "endpoint_dt_e")
-    return finish(runs, "endpoint", ["endpoint_type", "endpoint"], "endpoint_token")
 
 
 def pl_se(pl: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
     """Secondary practice locations; only the token and the dates are kept."""
-    parts = ["line1", "line2", "city", "state", "postal_code"]
-    rows = pl.select(
-        "npi", *[or_empty(PL_COLUMNS[p]).alias(p) for p in parts], SNAPSHOT_DATE
+    return _whole(PLACES, pl, gap_days)
+
+
+_PL_PARTS = ["line1", "line2", "city", "state", "postal_code"]
+
+
+def _places(pl: DataFrame) -> DataFrame:
+    return pl.select(
+        "npi", *[or_empty(PL_COLUMNS[p]).alias(p) for p in _PL_PARTS], SNAPSHOT_DATE
+    )
+
+
+def _whole(history: History, rows: DataFrame, gap_days: int) -> DataFrame:
+    """A start-end table out of all snapshots at once."""
+    start, end = history.dates
+    runs = se_intervals(
+        history.seen(rows), history.keys, SNAPSHOT_DATE, gap_days, start, end
+    )
+    return history.table(runs)
+
+
+OTHERIDS = History(
+    "other_id", tuple(OTHERID_VALUES), _slots_seen(OTHER_IDS, OTHERID_VALUES), otherid_table
+)
+LICENSES = History(
+    "license", tuple(LICENSE_VALUES), _slots_seen(TAXONOMIES, LICENSE_VALUES), license_table
+)
+ORGANISATION_NAMES = History(
+    "othername", tuple(_NAME_KEYS[1:]), _organisation_names, othername_table
+)
+PERSON_NAMES = History("othername", tuple(_NAME_KEYS[1:]), _person_names, othername_table)
+ENDPOINTS = History(
+    "endpoint",
+    ("endpoint_type", "endpoint"),
+    _endpoints,
+    lambda runs: finish(runs, "endpoint", ["endpoint_type", "endpoint"], "endpoint_token"),
+)
+PLACES = History(
+    "pl",
+    tuple(_PL_PARTS),
+    _places,
+    lambda runs: finish(runs, "pl", _PL_PARTS, "pl_token").drop(*_PL_PARTS),
+)
+
+
+def taxonomies(taxonomy_lookup: DataFrame) -> History:
+    return History(
+        "taxonomy",
+        tuple(TAXONOMY_VALUES),
+        _slots_seen(TAXONOMIES, TAXONOMY_VALUES),
+        lambda runs: taxonomy_table(runs, taxonomy_lookup),
     )
-    runs = se_intervals(rows, ["npi", *parts], SNAPSHOT_DATE, gap_days, "pl_dt_s", "pl_dt_e")
-    return finish(runs, "pl", parts, "pl_token").drop(*parts)

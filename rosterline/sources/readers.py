@@ -14,6 +14,7 @@ from rosterline.functions.text import null_if_blank, strip
 from rosterline.operators.fold import fold_repeated_groups, folded_sources
 from rosterline.sources.headers import files_by_header, header_schema
 from rosterline.sources.manifest import path_snapshot_date
+from rosterline.sources.records import parse_records, read_records
 
 # Quotes inside quoted fields are doubled in all registry files.
 CSV_OPTIONS = {"escape": '"'}
@@ -29,19 +30,21 @@ def read_csv_files(
 
     Files with the same header are one scan, whatever folder they are in; ``shape`` runs on each
     such scan before the scans are put together by name, a column that a file lacks being null.
-    A file with line breaks inside quotes cannot be split: by default such files are found by a
-    scan of their text and read whole, each in one task, and all others are split. ``multi_line``
-    saves that scan if it is known.
+    Files with line breaks inside quotes are found by a scan of their text, which ``multi_line``
+    saves if it is known, and their records are put together from lines; all files are split.
     """
     parts = []
-    for (header, whole), group in files_by_header(spark, paths, multi_line).items():
-        raw = (
-            spark.read.options(header=True, multiLine=whole, **CSV_OPTIONS)
-            .schema(header_schema(header, date_suffix=None))
-            .csv(group)
-        )
-        date = path_snapshot_date(F.col("_metadata.file_path")).alias(SNAPSHOT_DATE)
-        dated = raw.select("*", date)
+    for (header, broken), group in files_by_header(spark, paths, multi_line).items():
+        schema = header_schema(header, date_suffix=None)
+        if broken:
+            records = read_records(spark, group).select(
+                "record", path_snapshot_date(F.col("file")).alias(SNAPSHOT_DATE)
+            )
+            dated = parse_records(records, schema.names, keep=(SNAPSHOT_DATE,))
+        else:
+            raw = spark.read.options(header=True, **CSV_OPTIONS).schema(schema).csv(group)
+            date = path_snapshot_date(F.col("_metadata.file_path")).alias(SNAPSHOT_DATE)
+            dated = raw.select("*", date)
         parts.append(shape(dated))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
