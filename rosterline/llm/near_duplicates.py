@@ -46,9 +46,13 @@ SIMILARITY = 0.8
 SKETCHES = 24
 SAMPLED = 6
 
-#: Documents of so few k-mers get, besides, sketches of one k-mer each: six k-mers that are drawn
+#: Documents of so few k-mers get, besides, sketches of ``OF_SHORT`` k-mers: six k-mers that are drawn
 #: from few agree less often. Pairs with a longer document are found with probability 0.9989 or more.
+#: Three k-mers of one of 4 or more agree with a chance of 0.4 at least, so all but 0.6 ** 24 of the
+#: shorter pairs are found; three that stand in one order are few texts' by chance, a single one,
+#: such as a common header's, is not.
 SHORT = 75
+OF_SHORT = 3
 
 _WORD = regex.compile(r"\w+")
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -94,7 +98,7 @@ def sketches(values: np.ndarray) -> np.ndarray:
         _sketch(values, values, _SEEDS[a : a + step], SAMPLED) for a in range(0, SKETCHES, step)
     ]
     if len(values) <= SHORT:
-        found.append(_sketch(values, values, ~_SEEDS, 1))
+        found.append(_sketch(values, values, ~_SEEDS, OF_SHORT))
     return np.concatenate(found)
 
 
@@ -214,7 +218,8 @@ def near_duplicates(
     text_col: str = "text",
     least: float = SIMILARITY,
 ) -> DataFrame:
-    """``id_col``, ``digest`` (of the document's words) and ``class_id`` of every row."""
+    """``id_col``, ``digest`` (of the document's words), ``root`` (a digest of its group's, the same
+    for all of them) and ``class_id`` (the group's smallest id) of every row."""
     signed = Stored(_signatures(docs, id_col, text_col), "signatures")
     texts = signed.df.groupBy("digest").agg(
         F.min("id").alias("id"), F.first("sketches").alias("sketches")
@@ -248,7 +253,7 @@ def near_duplicates(
     names = grouped.groupBy("root").agg(F.min("id").alias("class_id"))
     names = Stored(names, "classes")
     return grouped.join(names.side(), "root").select(
-        F.col("id").alias(id_col), "digest", "class_id"
+        F.col("id").alias(id_col), "digest", "root", "class_id"
     )
 
 
@@ -273,24 +278,50 @@ def _aligned(pairs: DataFrame, least: float) -> DataFrame:
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: of each group the one with the smallest id."""
-    found = near_duplicates(docs, id_col, text_col, least)
+    """The rows of ``docs``, all columns, that stay: one of each group, of the smallest id.
+
+    If an id has several texts, each is in a group of its own right: only rows of one group go for
+    one another. Of several rows with the id and the words that stay, the smallest is left.
+    """
+    found = near_duplicates(docs, id_col, text_col, least).withColumnRenamed(id_col, "__id")
+    found = Stored(found.select("__id", "digest", "root"), "found")
     kept = Stored(
-        found.where(F.col(id_col).eqNullSafe(F.col("class_id")))
-        .groupBy(F.col(id_col).alias("__id"))
-        .agg(F.count("*").alias("__copies")),
+        found.df.groupBy("root")
+        .agg(F.min(F.struct("__id", "digest")).alias("first"))
+        .select("first.__id", F.col("first.digest").alias("__digest")),
         "kept",
     )
-    stay = docs.join(kept.side(), F.col(id_col).eqNullSafe(F.col("__id")))
-    single = stay.where(F.col("__copies") == 1).select(*docs.columns)
-    if kept.df.where(F.col("__copies") > 1).isEmpty():
-        return single
-    # Ids that occur more than once: the row with the smallest text stays.
-    again = (
-        stay.where(F.col("__copies") > 1)
-        .select("__id", F.struct(text_of(text_col).alias("__text"), *docs.columns).alias("__row"))
-        .groupBy("__id")
-        .agg(F.min("__row").alias("__row"))
+    rows = found.df.groupBy("__id").agg(
+        F.count("*").alias("__rows"), (F.min("digest") != F.max("digest")).alias("__several")
+    )
+    repeated = Stored(rows.where(F.col("__rows") > 1).select("__id", "__several"), "repeated")
+    same_id = F.col(id_col).eqNullSafe(F.col("__id"))
+    if repeated.df.isEmpty():
+        return docs.join(kept.side(), same_id, "left_semi").select(*docs.columns)
+    single = docs.join(repeated.side(), same_id, "left_anti")
+    single = single.join(kept.side(), same_id, "left_semi")
+    others = docs.join(repeated.side(), same_id, "left_semi").withColumn(
+        "__text", text_of(text_col)
+    )
+    marked = _with_digest(others, "__text").join(
+        kept.side(), same_id & (F.col("__made") == F.col("__digest"))
+    )
+    one = (
+        marked.groupBy("__id", "__digest")
+        .agg(F.min(F.struct("__text", *docs.columns)).alias("__row"))
         .select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
     )
-    return single.unionByName(again)
+    return single.select(*docs.columns).unionByName(one)
+
+
+def _with_digest(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with ``__made``, the digest of a row's words."""
+
+    def start():
+        def work(texts: list[str], _) -> list:
+            return [[md5(canonical(text)).digest() for text in texts]]
+
+        return work
+
+    fields: list[Field] = [("__made", T.BinaryType(), pa.binary())]
+    return map_texts(docs, F.col(text_col), tuple(docs.columns), fields, start)

@@ -136,6 +136,19 @@ def test_near_duplicates(spark, odd, nothing):
     assert pairs(rows, "doc_id", "class_id") == [(4, 4), (5, 5), (7, 4), (9, 4)]
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    """An id with several texts: a row goes for a row of its own group only."""
+    long = [f"w{i}" for i in range(300)]
+    near = " ".join([*long[:150], "changed", *long[151:]])
+    other, third = " ".join(f"v{i}" for i in range(80)), " ".join(f"u{i}" for i in range(80))
+    rows = [(1, " ".join(long)), (2, near), (2, other), (2, other), (3, other), (4, third), (None, third)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = near_duplicates.one_of_each(docs).collect()
+    assert pairs(left, "doc_id", "text") == sorted(
+        [(1, " ".join(long)), (2, other), (None, third)], key=repr
+    )
+
+
 def test_language(odd, nothing):
     trees = language.learn(odd)
     rows = language.identify(odd, trees).collect()
