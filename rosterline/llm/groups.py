@@ -7,6 +7,9 @@ the links that were found. A pivot is then done. Buckets of one group drop out,
 with more pivots, until every member outside the largest group has been a pivot: all links that
 could join two groups have been looked at, whatever the size of a bucket.
 
+Two members may share many buckets. With ``once`` a pair is made in the smallest of their common
+buckets only, whatever the round; every other bucket leaves it to that one.
+
 All tables are written to the shared folder between steps, so that lost executors cost no more
 than a step, and joins meet plain shuffles that Spark can split where a bucket is crowded.
 """
@@ -15,14 +18,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import Stored
 
 #: Pivots of a bucket in the first round, and how many times as many in each round after.
 FIRST_PIVOTS = 2
-MORE_PIVOTS = 8
+MORE_PIVOTS = 4
 
 
 def crowded(rows: DataFrame) -> DataFrame:
@@ -107,14 +110,27 @@ def _merged(labels: Stored | None, links: DataFrame) -> Stored:
     return made
 
 
-def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+def _here() -> Column:
+    """Whether this bucket is the smallest that both members are in."""
+    return F.array_min(F.array_intersect("every", "pivot_every")) == F.col("bucket")
+
+
+def link_groups(
+    rows: DataFrame, verify: Callable[[DataFrame], DataFrame], once: bool = False
+) -> DataFrame | None:
     """``node`` and ``root`` of the nodes that have a link; None if there is no link at all.
 
     ``rows`` has ``bucket``, ``node``, ``rank`` (the order in which members become pivots),
     ``size`` and the sizes, ``low`` to ``high``, that a linked node can have; each bucket and node
-    once. ``verify`` gets pairs (a, b), a < b, each once, and keeps those that are linked.
+    once. ``verify`` gets pairs (a, b), a < b, each once, and keeps those that are linked. ``once``
+    is for nodes that are in a few dozen buckets at most, as every row then carries them all.
     """
     members = Stored(crowded(rows), "members")
+    if once:
+        every = members.df.groupBy("node").agg(F.collect_list("bucket").alias("every"))
+        single, members = members, Stored(members.df.join(every, "node"), "members")
+        single.drop()
+    carried = ["node", "root", "size", "low", "high", *(["every"] if once else [])]
     labels: Stored | None = None
     most = FIRST_PIVOTS
     while not members.df.isEmpty():
@@ -146,7 +162,7 @@ def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Da
             .where(F.col("place") <= most)
             .select(
                 "bucket",
-                *[F.col(c).alias(f"pivot_{c}") for c in ("node", "root", "size", "low", "high")],
+                *[F.col(c).alias(f"pivot_{c}") for c in carried],
             ),
             "pivots",
         )
@@ -155,6 +171,7 @@ def link_groups(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Da
             .where(F.col("root") != F.col("pivot_root"))
             .where(F.col("size").between(F.col("pivot_low"), F.col("pivot_high")))
             .where(F.col("pivot_size").between(F.col("low"), F.col("high")))
+            .where(_here() if once else F.lit(True))
             .select(
                 F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")
             )

@@ -239,7 +239,7 @@ def near_duplicates(
         other = bodies.df.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
         return _aligned(pairs.join(one, "a").join(other, "b"), least)
 
-    roots = link_groups(rows, verify)
+    roots = link_groups(rows, verify, once=True)
     for table in (members, wanted, bodies, reach):
         table.drop()
     known = signed.df.select("id", "digest")
@@ -300,15 +300,13 @@ def one_of_each(
         return docs.join(kept.side(), same_id, "left_semi").select(*docs.columns)
     single = docs.join(repeated.side(), same_id, "left_anti")
     single = single.join(kept.side(), same_id, "left_semi")
-    others = docs.join(repeated.side(), same_id, "left_semi").withColumn(
-        "__text", text_of(text_col)
-    )
-    marked = _with_digest(others, "__text").join(
+    others = docs.join(repeated.side(), same_id, "left_semi")
+    marked = _with_digest(others, text_col).join(
         kept.side(), same_id & (F.col("__made") == F.col("__digest"))
     )
     one = (
         marked.groupBy("__id", "__digest")
-        .agg(F.min(F.struct("__text", *docs.columns)).alias("__row"))
+        .agg(F.min(F.struct(text_of(text_col).alias("__body"), *docs.columns)).alias("__row"))
         .select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
     )
     return single.select(*docs.columns).unionByName(one)
@@ -324,4 +322,4 @@ def _with_digest(docs: DataFrame, text_col: str) -> DataFrame:
         return work
 
     fields: list[Field] = [("__made", T.BinaryType(), pa.binary())]
-    return map_texts(docs, F.col(text_col), tuple(docs.columns), fields, start)
+    return map_texts(docs, text_of(text_col), tuple(docs.columns), fields, start)
