@@ -37,6 +37,23 @@ def crowded(rows: DataFrame) -> DataFrame:
     return rows.join(counts.side(), "bucket", "left_semi")
 
 
+def shared_sets(rows: DataFrame) -> DataFrame:
+    """``bucket`` and ``node`` for each different set of nodes that share a bucket of ``rows``.
+
+    One shuffle of ``rows`` (bucket, node; each once): a bucket's nodes are counted and hashed
+    together where they meet, nodes that are alone go, and buckets of equal sets become one.
+    """
+    held = Window.partitionBy("bucket")
+    marked = rows.select(
+        "node",
+        F.count("*").over(held).alias("n"),
+        F.bit_xor(F.xxhash64("node")).over(held).alias("set"),
+    )
+    return marked.where(F.col("n") > 1).select(
+        F.xxhash64("set", "n").alias("bucket"), "node"
+    ).distinct()
+
+
 def components(links: DataFrame) -> Stored:
     """``node`` and ``root``, the smallest node that is reachable, of every node in ``links`` (a, b).
 
@@ -116,7 +133,10 @@ def _here() -> Column:
 
 
 def link_groups(
-    rows: DataFrame, verify: Callable[[DataFrame], DataFrame], once: bool = False
+    rows: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    once: bool = False,
+    shared: bool = False,
 ) -> DataFrame | None:
     """``node`` and ``root`` of the nodes that have a link; None if there is no link at all.
 
@@ -124,8 +144,9 @@ def link_groups(
     ``size`` and the sizes, ``low`` to ``high``, that a linked node can have; each bucket and node
     once. ``verify`` gets pairs (a, b), a < b, each once, and keeps those that are linked. ``once``
     is for nodes that are in a few dozen buckets at most, as every row then carries them all.
+    ``shared`` says that no node is alone in its bucket.
     """
-    members = Stored(crowded(rows), "members")
+    members = Stored(rows if shared else crowded(rows), "members")
     if once:
         every = members.df.groupBy("node").agg(F.collect_list("bucket").alias("every"))
         single, members = members, Stored(members.df.join(every, "node"), "members")

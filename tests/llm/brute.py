@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import string
 from collections import defaultdict
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import regex
-import xxhash
+
+#: One byte each, and not in normalised lines.
+_SIGNS = string.ascii_uppercase + "!#$%&()*+,-./:;<=>?@[]^_{|}~"
 
 
 def roots(nodes: list, links: list[tuple]) -> dict:
@@ -24,41 +29,54 @@ def roots(nodes: list, links: list[tuple]) -> dict:
     return {node: find(node) for node in nodes}
 
 
-def edit_distance(one: str, other: str) -> int:
-    row = list(range(len(other) + 1))
-    for i, a in enumerate(one, 1):
-        last, row[0] = row[0], i
-        for j, b in enumerate(other, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
-    return row[-1]
-
-
-def kept_lines(docs: list[tuple], least: float = 0.8, distance: int = 3) -> list[str]:
-    """The text that line dedup leaves of each (id, text)."""
-    places, words = defaultdict(list), {}
+def _close(norms: list[str], least: float) -> list[tuple[int, int]]:
+    """All pairs of lines of which the longer one is ``1 - least`` of its length edits away at most.
+
+    An edit takes away two pairs of neighbouring letters at most, so lines that share too few of
+    them are not compared. DuckDB's distance is one of bytes: letters beyond ASCII get signs that
+    no line has.
+    """
+    beyond = sorted({c for norm in norms for c in norm if c > "\x7f"})
+    assert len(beyond) <= len(_SIGNS)
+    plain = str.maketrans(dict(zip(beyond, _SIGNS, strict=False)))
+    held = [x.translate(plain) for x in norms]
+    sizes = np.array([len(x) for x in held])
+    counts = np.zeros((len(held), 509), np.int16)
+    for i, x in enumerate(held):
+        letters = np.frombuffer(x.encode(), np.uint8).astype(int)
+        np.add.at(counts[i], (letters[:-1] * 31 + letters[1:]) % 509, 1)
+    near = []
+    for i in range(len(held)):
+        longer = np.maximum(sizes[i], sizes[i + 1 :])
+        most = np.floor((1 - least) * longer + 1e-6)
+        j = np.flatnonzero(np.abs(sizes[i] - sizes[i + 1 :]) <= most)
+        shared = np.minimum(counts[i], counts[i + 1 + j]).sum(axis=1)
+        j = j[shared >= longer[j] - 1 - 2 * most[j]]
+        near += [(i, int(k) + i + 1, int(most[k])) for k in j]
+    base = duckdb.connect()
+    base.register("line", pa.table({"i": range(len(held)), "n": held}))
+    columns = zip("abm", zip(*near, strict=True), strict=True) if near else [("a", []), ("b", []), ("m", [])]
+    base.register("near", pa.table({name: pa.array(list(x), pa.int64()) for name, x in columns}))
+    return base.execute(
+        "SELECT a, b FROM near JOIN line x ON a = x.i JOIN line y ON b = y.i "
+        "WHERE levenshtein(x.n, y.n) <= m"
+    ).fetchall()
+
+
+def kept_lines(docs: list[tuple], least: float = 0.8) -> list[str]:
+    """The text that line dedup leaves of each (id, text): edit similarity decides for all pairs."""
+    places = defaultdict(list)
     for number, (doc, text) in enumerate(docs):
         for pos, line in enumerate(text.split("\n")):
             norm = regex.sub(r"[\x00-\x1F\x21-\x2F\x3A-\x60\x7B-\x7F ]+", " ", line.lower())
-            norm = norm.strip(" ")
-            if norm:
-                places[norm].append((doc, pos, number))
-                words[norm] = norm.split(" ")
+            if norm.strip(" "):
+                places[norm.strip(" ")].append((doc, pos, number))
     norms = list(places)
-    bits = np.zeros((len(norms), 64), int)
-    for i, norm in enumerate(norms):
-        hashes = np.array([xxhash.xxh64(w.encode(), 42).intdigest() for w in words[norm]], np.uint64)
-        ones = (hashes[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-        bits[i] = ones.sum(axis=0) * 2 > len(hashes)
-    apart = (bits @ (1 - bits).T) + ((1 - bits) @ bits.T)
-    links = []
-    for i, j in zip(*np.nonzero(np.triu(apart <= distance, 1)), strict=True):
-        one, other = norms[i], norms[j]
-        most = int(max(len(one), len(other)) * (1 - least) + 1e-6)
-        if abs(len(one) - len(other)) <= most and edit_distance(one, other) <= most:
-            links.append((one, other))
+    links = _close(norms, least)
     groups = defaultdict(list)
-    for norm, root in roots(norms, links).items():
-        groups[root] += places[norm]
+    found = roots(list(range(len(norms))), links)
+    for i, root in found.items():
+        groups[root] += places[norms[i]]
     gone = defaultdict(set)
     for held in groups.values():
         for _, pos, number in sorted(held)[1:]:

@@ -83,21 +83,6 @@ def test_window_hashes_tell_windows_apart():
         assert len(found) == len({tuple(joined[i : i + size]) for i in range(len(joined) - size + 1)})
 
 
-def test_pigeonholes_meet(spark):
-    chance = random.Random(2)
-    rows = []
-    for _ in range(200):
-        sim = chance.getrandbits(64) - 2**63
-        other = sim
-        for bit in chance.sample(range(63), 3):
-            other ^= 1 << bit
-        rows.append((sim, other))
-    keys = spark.createDataFrame(rows, "a bigint, b bigint").select(
-        F.size(F.array_intersect(line_dedup.pigeonholes(F.col("a")), line_dedup.pigeonholes(F.col("b"))))
-    )
-    assert all(r[0] >= 1 for r in keys.collect())
-
-
 def test_edit_similarity_of_lines(spark):
     chance = random.Random(5)
     rows = []
@@ -197,7 +182,7 @@ def test_native_plans_have_no_python(spark, documents):
     for df in (
         licenses.find_licenses(documents),
         line_dedup.split_lines(documents, "doc_id", "text"),
-        line_dedup.simhashes(line_dedup.split_lines(documents, "doc_id", "text")),
+        line_dedup.line_keys(line_dedup.split_lines(documents, "doc_id", "text")),
         line_dedup.without_copies(documents.limit(20)),
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
