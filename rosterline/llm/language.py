@@ -19,11 +19,11 @@ rows count as often as they stand there; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +36,7 @@ UNKNOWN = "und"
 PASS_GRAMS = 4_000_000
 
 _START = b"\n\n\n"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -53,3 +53,11 @@ def test_bytes_of_all_languages_are_told_apart():
     bits = language.lengths(trees, ["አኡኢ", "ႠႡႢ", ""])
     assert bits.argmin(axis=1).tolist() == [1, 2, 0] and bits[2].tolist() == [0, 0, 0]
     assert bits[0, 1] < bits[0, 2] - 8
+
+
+def test_signs_that_are_no_letters(spark):
+    """Fractions, raised and circled numbers are numbers: such texts have no language."""
+    trees = language.learn(spark.createDataFrame([(1, "some words here", "en")], "doc_id int, text string, lang string"))
+    docs = spark.createDataFrame([(1, "½ ² ① _ 7"), (2, "ª"), (3, "x²")], "doc_id int, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, trees).collect()}
+    assert found == {1: "und", 2: "en", 3: "en"}
