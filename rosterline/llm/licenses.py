@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import Stored, text_of
+from rosterline.llm.license_texts import TEXTS
 
 # Names and wordings of published licences and notices.
 KNOWN = [
@@ -66,6 +67,7 @@ NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FO
 DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
 OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
     ),
+    *TEXTS,
 ]
 
 #: Spellings that count as one, in canonical form.

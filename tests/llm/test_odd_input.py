@@ -104,6 +104,20 @@ def test_licenses(spark, odd, nothing):
     )
 
 
+def test_every_known_text_is_found(spark):
+    """Whole, re-wrapped, in capitals and with a copyright line before it."""
+    texts = [(name, text) for name, text in licenses.KNOWN if len(text) > 100]
+    assert len(texts) > 15
+    docs = []
+    for i, (_, text) in enumerate(texts):
+        words = text.upper().split()
+        wrapped = "\n".join(" ".join(words[a : a + 1000]) for a in range(0, len(words), 1000))
+        docs += [(2 * i, text), (2 * i + 1, "Copyright 2020 A. Uthor\n\n" + wrapped)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["whole_text"] for r in licenses.find_licenses(df).collect()}
+    assert found == {j: [texts[j // 2][0]] for j, _ in docs}
+
+
 def test_line_dedup(odd, nothing):
     kept = line_dedup.without_copies(odd).drop("__removed")
     assert kept.columns == odd.columns
