@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.frames import MAILING_KEY, PL_KEY, PRACTICE_KEY, frame, table
 from checks.registry import check
-from rosterline.functions.fixed import STREET_END_MARKERS
+from rosterline.functions.fixed import SNAPSHOT_DATE, STREET_END_MARKERS
 from rosterline.functions.grid import assign_cell, cell_step
 from rosterline.functions.text import clean_street
 from rosterline.operators.addresses import (
@@ -30,6 +30,7 @@ from rosterline.operators.places import (
     read_poi_matches,
 )
 from rosterline.plans.flow import colocation
+from rosterline.plans.kept_usage import read_usage, update_usage
 from rosterline.session import staged, work_folder
 
 STEP = cell_step()
@@ -80,6 +81,18 @@ def address_usage_query(spark: SparkSession, sf: str) -> DataFrame:
     return address_usage(frame(spark, sf, "npidata"), frame(spark, sf, "pl"))
 
 
+@check("kept_address_usage", USAGE_SQL)
+def kept_address_usage_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts merged from the snapshots of four quarters, two of them late and one of them twice."""
+    path = work_folder(spark, "usage")
+    main = staged(frame(spark, sf, "npidata"), "main")
+    pl = staged(frame(spark, sf, "pl"), "pl")
+    for quarter in (2, 4, 1, 2, 3):
+        of_quarter = F.quarter(SNAPSHOT_DATE) == quarter
+        update_usage(spark, path, main.where(of_quarter), pl.where(of_quarter))
+    return read_usage(spark, path)
+
+
 @check(
     "worklist",
     f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +33,9 @@ from rosterline.sources.readers import (
     read_main_files,
     read_side_files,
 )
+from rosterline.sources.file_store import read_file_store
 from rosterline.sources.store import append_snapshot, read_latest, read_store
-from rosterline.streaming.incremental import load_new_files
+from rosterline.streaming.incremental import load_changed_files, load_new_files
 
 
 @check(
@@ -420,6 +423,52 @@ def incremental_load_parts_query(spark: SparkSession, sf: str) -> DataFrame:
     return read_store(spark, store).select("npi", "endpoint_type", "endpoint", "_input_file_date")
 
 
+def _publish(df: DataFrame, folder: str, name: str) -> str:
+    """``df`` as part files of one date, under the same paths whenever that is done."""
+    spark = df.sparkSession
+    made = _csv_folder(df.repartition(3, "npi"), f"{folder}/made", work_folder(spark, "x")[-8:])
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    out = f"{folder}/in/{name}"
+    files.mkdirs(place(out))
+    parts = sorted(e.getPath().toString() for e in files.globStatus(place(f"{made}/part-*")))
+    for number, part in enumerate(parts):
+        target = place(f"{out}/part-{number}.csv")
+        files.delete(target, False)
+        files.rename(place(part), target)
+    return out
+
+
+@check(
+    "incremental_load_changed",
+    """SELECT npi, endpoint_type, endpoint, CASE WHEN year(_input_file_date) >= 1998
+         THEN DATE '2001-12-31' ELSE DATE '1997-12-31' END AS _input_file_date FROM {endpoint}""",
+)
+def incremental_load_changed_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that are published again, files that leave the folder, and a late file of their date."""
+    rows = frame(spark, sf, "endpoint")
+    recent = F.year("_input_file_date") >= 1998
+    late = F.pmod(F.xxhash64("npi"), F.lit(7)) == 0
+    folder = work_folder(spark, "landing")
+    store = f"{folder}/store"
+
+    def arrive(arrived: DataFrame, name: str) -> str:
+        out = _publish(arrived.drop("_input_file_date"), folder, name)
+        load_changed_files(spark, f"{folder}/in/*", store, partial(read_side_files, source=True), 4)
+        return out
+
+    gone = arrive(rows.where(~recent & ~late), "endpoint_pfile_20050523-19971231")
+    draft = rows.where(recent).withColumn("endpoint", F.concat(F.lit("draft of "), "endpoint"))
+    arrive(draft, "endpoint_pfile_20050523-20011231")
+    place = spark._jvm.org.apache.hadoop.fs.Path(gone)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    arrive(rows.where(recent), "endpoint_pfile_20050523-20011231")
+    arrive(rows.where(~recent & late), "endpoint_late_20050523-19971231")
+    return read_file_store(spark, store).select(
+        "npi", "endpoint_type", "endpoint", "_input_file_date"
+    )
+
+
 @check("stored_slots_round_trip", FOLDED_SQL)
 def stored_slots_query(spark: SparkSession, sf: str) -> DataFrame:
     """Slot arrays of the snapshot rows packed for export; the store keeps primary slots first."""

@@ -17,6 +17,15 @@ def by_key(documents: DataFrame, value: str, key: str = "npi") -> DataFrame:
     return documents.where(F.col(key) == value)
 
 
+def by_keys(documents: DataFrame, values: Iterable[str], key: str = "npi") -> DataFrame:
+    """The documents of several keys, of which there are as many as a caller asks for at once.
+
+    A literal list, so that row groups are skipped by minima, maxima and Bloom filters; Spark hands
+    lists of up to ``spark.sql.parquet.pushdown.inFilterThreshold`` values down one by one.
+    """
+    return documents.where(F.col(key).isin(sorted(set(values))))
+
+
 def browse(directory: DataFrame, category: str, initial: str) -> DataFrame:
     """Both columns are partition columns of the written directory, so other files are skipped."""
     return directory.where((F.col("category") == category) & (F.col("initial") == initial))

@@ -42,10 +42,14 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(found)
 
 
-def held_intervals(spark: SparkSession, path: str) -> DataFrame | None:
-    """The intervals of the newest version, None before the first snapshot."""
+def held_table(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """A table of the newest version, None before the first snapshot."""
     found = versions(spark, path)
-    return spark.read.parquet(f"{path}/{VERSION}{found[-1]}/intervals") if found else None
+    return spark.read.parquet(f"{path}/{VERSION}{found[-1]}/{name}") if found else None
+
+
+def held_intervals(spark: SparkSession, path: str) -> DataFrame | None:
+    return held_table(spark, path, "intervals")
 
 
 def held_dates(spark: SparkSession, path: str) -> set[dt.date]:
@@ -56,6 +60,24 @@ def held_dates(spark: SparkSession, path: str) -> set[dt.date]:
     return {row[0] for row in dates.collect()}
 
 
+def write_version(
+    spark: SparkSession, path: str, name: str, table: DataFrame, dates: set[dt.date]
+) -> None:
+    """Write ``table`` and the snapshot dates in it as the next version; the newest and the one
+    before it stay, all older ones go."""
+    found = versions(spark, path)
+    number = found[-1] + 1 if found else 0
+    folder = f"{path}/{VERSION}{number}"
+    table.write.mode("overwrite").parquet(f"{folder}/{name}")
+    every = [(date,) for date in sorted(dates)]
+    spark.createDataFrame(every, f"`{SNAPSHOT_DATE}` date").coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{folder}/dates")
+    files, _ = _folder(spark, path)
+    for old in found[:-1]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}{old}"), True)
+
+
 def with_snapshots(
     held: DataFrame | None, history: History, rows: DataFrame, gap_days: int = GAP_DAYS
 ) -> DataFrame:
@@ -83,19 +105,9 @@ def update_history(
     new = sorted(dates - known)
     if not new:
         return []
-    found = versions(spark, path)
-    number = found[-1] + 1 if found else 0
-    folder = f"{path}/{VERSION}{number}"
     fresh = rows.where(F.col(SNAPSHOT_DATE).isin(new))
     merged = with_snapshots(held_intervals(spark, path), history, fresh, gap_days)
-    merged.write.mode("overwrite").parquet(f"{folder}/intervals")
-    every = [(date,) for date in sorted(known | set(new))]
-    spark.createDataFrame(every, f"`{SNAPSHOT_DATE}` date").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{folder}/dates")
-    files, _ = _folder(spark, path)
-    for old in found[:-1]:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}{old}"), True)
+    write_version(spark, path, "intervals", merged, known | set(new))
     return new
 
 

@@ -19,12 +19,16 @@ from rosterline.sources.records import parse_records, read_records
 # Quotes inside quoted fields are doubled in all registry files.
 CSV_OPTIONS = {"escape": '"'}
 
+#: The file that a row comes from, where it is asked for.
+SOURCE_FILE = "_source_file"
+
 
 def read_csv_files(
     spark: SparkSession,
     paths: Iterable[str],
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
     multi_line: bool | None = None,
+    source: bool = False,
 ) -> DataFrame:
     """All files (or folders of part files) as text plus the snapshot date in their names.
 
@@ -32,19 +36,22 @@ def read_csv_files(
     such scan before the scans are put together by name, a column that a file lacks being null.
     Files with line breaks inside quotes are found by a scan of their text, which ``multi_line``
     saves if it is known, and their records are put together from lines; all files are split.
+    With ``source`` rows have the path of their file too.
     """
+    added = [SNAPSHOT_DATE, *([SOURCE_FILE] if source else [])]
+
+    def stamps(file: Column) -> list[Column]:
+        return [path_snapshot_date(file).alias(SNAPSHOT_DATE), file.alias(SOURCE_FILE)][: len(added)]
+
     parts = []
     for (header, broken), group in files_by_header(spark, paths, multi_line).items():
         schema = header_schema(header, date_suffix=None)
         if broken:
-            records = read_records(spark, group).select(
-                "record", path_snapshot_date(F.col("file")).alias(SNAPSHOT_DATE)
-            )
-            dated = parse_records(records, schema.names, keep=(SNAPSHOT_DATE,))
+            records = read_records(spark, group).select("record", *stamps(F.col("file")))
+            dated = parse_records(records, schema.names, keep=tuple(added))
         else:
             raw = spark.read.options(header=True, **CSV_OPTIONS).schema(schema).csv(group)
-            date = path_snapshot_date(F.col("_metadata.file_path")).alias(SNAPSHOT_DATE)
-            dated = raw.select("*", date)
+            dated = raw.select("*", *stamps(F.col("_metadata.file_path")))
         parts.append(shape(dated))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
@@ -54,7 +61,7 @@ def clean_main_columns(df: DataFrame) -> DataFrame:
     slots = folded_sources(df.columns)
 
     def cleaned(name: str) -> Column:
-        if name in slots or name == SNAPSHOT_DATE:
+        if name in slots or name in (SNAPSHOT_DATE, SOURCE_FILE):
             return F.col(name)
         if name.endswith("_date"):
             return parse_us_date(name).alias(name)
@@ -73,16 +80,22 @@ def shape_main(df: DataFrame) -> DataFrame:
 
 
 def read_main_files(
-    spark: SparkSession, paths: Iterable[str], multi_line: bool | None = None
+    spark: SparkSession,
+    paths: Iterable[str],
+    multi_line: bool | None = None,
+    source: bool = False,
 ) -> DataFrame:
-    return read_csv_files(spark, paths, shape_main, multi_line)
+    return read_csv_files(spark, paths, shape_main, multi_line, source)
 
 
 def read_side_files(
-    spark: SparkSession, paths: Iterable[str], multi_line: bool | None = None
+    spark: SparkSession,
+    paths: Iterable[str],
+    multi_line: bool | None = None,
+    source: bool = False,
 ) -> DataFrame:
     """Endpoint, other-name or secondary-location files: every column stays text."""
-    return read_csv_files(spark, paths, multi_line=multi_line)
+    return read_csv_files(spark, paths, multi_line=multi_line, source=source)
 
 
 def read_deactivated(spark: SparkSession, paths: Iterable[str]) -> DataFrame:

@@ -12,12 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterline.functions.fixed import SNAPSHOT_DATE
+from rosterline.sources.file_store import FILE_SCHEMA, ingest_files, published_files
 from rosterline.sources.manifest import path_snapshot_date
 from rosterline.sources.store import ingest_pending
 
-# Columns of Spark's binaryFile source.
-FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-
 
 def load_new_files(
     spark: SparkSession,
@@ -56,3 +54,18 @@ def load_new_files(
         .start()
         .awaitTermination()
     )
+
+
+def load_changed_files(
+    spark: SparkSession,
+    folder: str,
+    store: str,
+    read: Callable[[SparkSession, list[str]], DataFrame],
+    files_per_load: int = 200,
+) -> list[str]:
+    """Load the files of ``folder`` that are new or were published again, each by itself.
+
+    A stream knows a file by its path and passes over one that has changed; here the store's own
+    list says what is held. Files that have left the folder stay in the store.
+    """
+    return ingest_files(spark, store, published_files(spark, folder), read, files_per_load)

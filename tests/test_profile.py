@@ -15,7 +15,7 @@ from rosterline.operators.affiliations import (
     employer_roster,
     size_bucket,
 )
-from rosterline.operators.lookup import browse, by_key, search_text, search_words, word_index
+from rosterline.operators.lookup import browse, by_key, by_keys, search_text, search_words, word_index
 from rosterline.operators.payments import all_payments, payments_by_provider
 from rosterline.operators.rollups import also_known_as, clinician_facts, optout_dates
 from rosterline.operators.snapshots import change_frequency, latest_partition, latest_per_key
@@ -324,3 +324,24 @@ def test_all_other_names_are_searched_and_told_of(spark, registry):
     assert words["800", "800"] == words["800", "boston"] == words["1", "roe"] == 1
     for i in (0, 31, 59):
         assert search_text(rows, [f"NAME{i:03}"], "npi", ["text"]).first().npi == "800"
+
+
+def test_a_missing_key_opens_no_row_group(spark, tmp_path):
+    """The key lies between minimum and maximum of the only row group: its Bloom filter has it not."""
+    path = str(tmp_path / "profiles")
+    held = spark.range(0, 20_000, 2).selectExpr("cast(1000000000 + id as string) as npi", "id")
+    write_profiles(held.coalesce(1), path)
+
+    def read_rows(found):
+        found.collect()
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return scan.metrics().apply("numOutputRows").value()
+
+    documents = spark.read.parquet(path)
+    assert read_rows(by_key(documents, "1000000001")) == 0
+    assert read_rows(by_keys(documents, ["1000000003", "1000000005"])) == 0
+    assert by_key(documents, "1000000002").count() == 1
+    assert by_keys(documents, ["1000000002", "1000000005", "1000000004"]).count() == 2
+    plain = str(tmp_path / "plain")
+    documents.orderBy("npi").coalesce(1).write.option("parquet.enable.dictionary", "false").parquet(plain)
+    assert read_rows(by_key(spark.read.parquet(plain), "1000000001")) > 0
