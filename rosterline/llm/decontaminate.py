@@ -6,13 +6,15 @@ Where the jump is zero, the hash of the window's last block selects the windows
 there, and a direct comparison of all words confirms an occurrence. Test strings shorter than a
 window are windows of their own, searched with tables of their own length.
 
-The tables of the test strings are broadcast in parts of a bounded size; each part is one pass
-over the documents inside the same tasks, so a larger test set adds passes, not memory. Documents
-are never shuffled.
+The tables of the test strings are broadcast in parts of a bounded size. Each part is one pass over
+the documents, whose results are stored before the next, so a larger test set adds passes, not
+memory: a task holds the tables of one part. Documents are never shuffled. Rows of equal item id
+and text are one test string, so that parts, which are dealt by the hash of both, are even.
 
 Defined cases: a null text has no words; a document or test string without words is in no
 occurrence; equal test strings are all reported; a null item id is searched for but not listed;
-repeated documents get equal results; extra columns are ignored; empty tables give no hits.
+repeated documents get equal results; extra columns are ignored; empty tables give no hits. Item ids
+of whole numbers are listed as such, those of any other type as strings.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterline.llm.common import map_texts, text_of
+from rosterline.llm.common import Field, Stored, map_texts, text_of
 
 WINDOW = 13
 
@@ -86,8 +88,8 @@ class Tables:
 class Searcher:
     """All windows of a set of test strings."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], length: int):
-        self.items: dict[tuple[bytes, ...], set[int]] = {}
+    def __init__(self, items: list[tuple[int | str | None, str | None]], length: int):
+        self.items: dict[tuple[bytes, ...], set[int | str]] = {}
         for item, text in items:
             words = words_of(text or "")
             size = min(length, len(words))
@@ -100,7 +102,7 @@ class Searcher:
             Tables(n, [w for w in self.items if len(w) == n]) for n in sorted(lengths)
         ]
 
-    def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int | str]]:
         """Occurrences as word ranges, and the ids of their items."""
         spans, items = [], set()
         for table in self.tables:
@@ -122,17 +124,19 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _SPANS = "array<struct<start:bigint,stop:bigint>>"
-_FIELDS = [
-    ("n_words", T.LongType(), pa.int64()),
-    (
-        "spans",
-        T.ArrayType(
-            T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
-        ),
-        pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])),
+_WORDS = ("n_words", T.LongType(), pa.int64())
+_RANGES = (
+    "spans",
+    T.ArrayType(
+        T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
     ),
-    ("items", T.ArrayType(T.LongType()), pa.list_(pa.int64())),
-]
+    pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])),
+)
+
+
+def _fields(ids: T.DataType) -> list[Field]:
+    arrow = pa.int64() if isinstance(ids, T.LongType) else pa.string()
+    return [_WORDS, _RANGES, ("items", T.ArrayType(ids), pa.list_(arrow))]
 
 
 def find_windows(
@@ -151,9 +155,13 @@ def find_windows(
     overlaps; ``items`` the sorted ids of the test strings that occur; ``n_hit`` counts words.
     """
     spark = docs.sparkSession
-    tests = benchmark.select(
-        F.col(item_id).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")
-    ).where(F.col("text").isNotNull())
+    whole = isinstance(benchmark.schema[item_id].dataType, T.IntegralType)
+    ids = T.LongType() if whole else T.StringType()
+    given = benchmark.select(
+        F.col(item_id).cast(ids).alias("item"), F.col(item_text).cast("string").alias("text")
+    )
+    stored = Stored(given.where(F.col("text").isNotNull()).distinct(), "tests")
+    tests = stored.df
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
@@ -162,8 +170,9 @@ def find_windows(
         *keep,
         text_of(text_col).alias("__body"),
         F.expr(f"cast(array() AS {_SPANS})").alias("spans"),
-        F.expr("cast(array() AS array<bigint>)").alias("items"),
+        F.array().cast(T.ArrayType(ids)).alias("items"),
     )
+    passed: Stored | None = None
     for number in range(parts):
         rows = tests.where(part == number).collect()  # at most about part_bytes
         shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in rows])
@@ -188,10 +197,15 @@ def find_windows(
 
         before = found.withColumnsRenamed({"spans": "__spans", "items": "__items"})
         found = map_texts(
-            before, F.col("__body"), (*keep, "__body", "__spans", "__items"), _FIELDS, start
+            before, F.col("__body"), (*keep, "__body", "__spans", "__items"), _fields(ids), start
         ).drop("__spans", "__items")
         if number + 1 < parts:
-            found = found.drop("n_words")
+            last, passed = passed, Stored(found.drop("n_words"), "passed", "zstd")
+            found = passed.df
+            shared.unpersist()
+            if last is not None:
+                last.drop()
+    stored.drop()
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return found.select(*keep, "n_words", hit.alias("n_hit"), "spans", "items")
 

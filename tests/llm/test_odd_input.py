@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import ODD
 
 from rosterline.llm import (
@@ -63,6 +64,19 @@ def test_short_test_strings(odd, nothing, benchmark):
     assert decontaminate.decontaminate(odd, benchmark.limit(0)).count() == len(TEXTS)
 
 
+def test_test_strings_of_any_id_and_in_copies(spark, odd, benchmark):
+    """Copies of a test string are one, so that they cannot fill a part; ids need not be numbers."""
+    named = benchmark.withColumn("item_id", F.concat(F.lit("i"), "item_id"))
+    want = decontaminate.find_windows(odd, named)
+    assert {x for r in want.collect() for x in r["items"]} == {"i1"}
+    copies = named
+    for _ in range(3):
+        copies = copies.unionByName(copies)
+    found = decontaminate.find_windows(odd, copies, part_bytes=8)
+    names = ("doc_id", "n_words", "n_hit", "items", "spans")
+    assert pairs(found.collect(), *names) == pairs(want.collect(), *names)
+
+
 def test_substring_dedup(spark, odd, nothing):
     rows = substring_dedup.remove_repeats(odd).collect()
     want = [(doc, 0) for doc, _ in TEXTS]
