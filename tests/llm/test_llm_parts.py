@@ -100,6 +100,42 @@ def test_edit_similarity_of_lines(spark):
         assert similar == (brute.edit_distance(one, other) <= most), (one, other)
 
 
+def test_ends_of_long_lines_decide_nothing_wrongly(spark):
+    """Long lines around the limit: edits all over, at one end, a passage moved, shared passages."""
+    chance = random.Random(9)
+
+    def words(n: int) -> list[str]:
+        return ["".join(chance.choice("abcdefgh") for _ in range(chance.randint(1, 8))) for _ in range(n)]
+
+    rows = []
+    for _ in range(60):
+        line = words(chance.randint(10, 50))
+        text = " ".join(line)
+        n = len(text)
+        for share in (0.15, 0.19, 0.2, 0.21, 0.25):
+            k = int(n * share)
+            spread = list(text)
+            for at in chance.sample(range(n), k):
+                spread[at] = "z"
+            rows.append((text, "".join(spread)))
+            rows.append((text, "z" * k + text[k:]))
+            rows.append((text, text[: n - k] + "z" * k))
+            rows.append((text, "z" * k + " " + text))
+            rows.append((text, text[k // 2 :] + text[: k // 2]))
+            rows.append((text, text[k:]))
+        passage = line[len(line) // 3 :]
+        rows.append((text, " ".join([*words(len(line) // 3), *passage])))
+        rows.append((text, " ".join([*passage, *words(len(line) // 3)])))
+        rows.append((text, " ".join(words(len(line)))))
+    rows = [(a.strip(), b.strip()) for a, b in rows]
+    df = spark.createDataFrame(rows, "a string, b string")
+    found = df.select("a", "b", line_dedup.edit_similar(F.col("a"), F.col("b"))).collect()
+    for one, other, similar in found:
+        most = int(max(len(one), len(other)) * 0.2 + 1e-6)
+        assert similar == (brute.edit_distance(one, other) <= most), (one, other)
+    assert 100 < sum(similar for *_, similar in found) < len(found) - 100
+
+
 def test_crowded_buckets_lose_no_group(spark):
     """Numbers are linked if they are at most 3 apart; everything is in one bucket."""
     chance = random.Random(3)
