@@ -31,10 +31,9 @@ def test_merged_in_one_shuffle(spark):
     ]
     df = spark.createDataFrame(rows, "npi string, v string, s date, e date")
     merged = merge_intervals(df, ["npi", "v"], "s", "e", 45)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
     got = {}
     for npi, _, s, e in merged.collect():
         got.setdefault(npi, []).append(((s - DAY).days, (e - DAY).days))
     assert {k: sorted(x) for k, x in got.items()} == {k: plain(x, 45) for k, x in held.items()}
-    plan = merged._jdf.queryExecution().sparkPlan().toString()
-    assert "Window" not in plan
-    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
