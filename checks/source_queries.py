@@ -313,13 +313,11 @@ def ingest_side_files_query(spark: SparkSession, sf: str) -> DataFrame:
          lang, DATE '2024-01-07' AS _input_file_date FROM documents""",
 )
 def ingest_line_breaks_query(spark: SparkSession, sf: str) -> DataFrame:
-    """A file of texts with line breaks, quotes and commas, read by ranges."""
+    """Texts with line breaks, quotes and commas in a folder of part files, read by ranges."""
     raw = table(spark, sf, "documents").select(
         F.col("doc_id").alias("NPI"), F.col("text").alias("Text"), F.col("lang").alias("Lang")
     )
-    path = _csv_folder(
-        raw.coalesce(1), work_folder(spark, "broken"), "othername_pfile_20050523-20240107"
-    )
+    path = _csv_folder(raw, work_folder(spark, "broken"), "othername_pfile_20050523-20240107")
     read = read_side_files(spark, [path])
     return read.select("npi", F.md5(F.col("text").cast("binary")).alias("text"), "lang", "_input_file_date")
 
