@@ -68,7 +68,9 @@ def _tables(spark: SparkSession, path: str, number: int) -> tuple[int | None, li
     first = -1 if merged is None else merged
     added = [n for n in _numbers(spark, path, ADDED) if first < n <= number]
     held = [] if merged is None else [f"{path}/{MERGED}{merged}"]
-    return merged, held + [f"{path}/{ADDED}{n}" for n in added]
+    tables = held + [f"{path}/{ADDED}{n}" for n in added]
+    # States once had their intervals inside the version's folder.
+    return merged, tables or [f"{path}/{VERSION}{number}/intervals"]
 
 
 def held_intervals(
@@ -157,7 +159,8 @@ def update_history(
 
     for mark in (MERGED, ADDED):  # of a version that broke off
         drop(f"{mark}{number}")
-    if gap_days == GAP_DAYS and len(tables) - (merged is not None) < UNMERGED:
+    inside = any(f"/{VERSION}" in table.removeprefix(path) for table in tables)
+    if gap_days == GAP_DAYS and not inside and len(tables) - (merged is not None) < UNMERGED:
         _days(history, fresh).write.parquet(f"{path}/{ADDED}{number}")
     else:
         held = spark.read.parquet(*tables) if tables else None

@@ -34,3 +34,17 @@ def test_state_grows_by_the_snapshot_alone(spark, rows, tmp_path):
         assert got == rows(endpoint_se(so_far))
     assert [n for n in sizes if n != 6] == [sizes[kept.UNMERGED]]
     assert not list(Path(tmp_path).glob("added=0"))  # merged, and of no version that stays
+
+
+def test_intervals_inside_a_version_are_taken_over(spark, rows, tmp_path):
+    path = str(tmp_path)
+    first = spark.createDataFrame([("1", "T", "x", DAY)], SCHEMA)
+    kept.with_snapshots(None, ENDPOINTS, first).write.parquet(f"{path}/version=0/intervals")
+    first.select("_input_file_date").write.parquet(f"{path}/version=0/dates")
+    assert rows(kept.read_history(spark, path, ENDPOINTS)) == rows(endpoint_se(first))
+    so_far = first
+    for days in (20, 200):
+        seen = spark.createDataFrame([("1", "T", "x", DAY + dt.timedelta(days))], SCHEMA)
+        kept.update_history(spark, path, ENDPOINTS, seen)
+        so_far = so_far.unionByName(seen)
+        assert rows(kept.read_history(spark, path, ENDPOINTS)) == rows(endpoint_se(so_far))
