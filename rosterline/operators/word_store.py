@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rosterline.functions.text import words
 from rosterline.operators.lookup import search_words
+from rosterline.session import staged
 
 
 @dataclass(frozen=True)
@@ -28,34 +29,38 @@ class WordStore:
 
 
 def word_counts(documents: DataFrame, key: str, texts: list[str]) -> DataFrame:
-    """``word, key, hits`` of each row: words are counted inside the row, before any shuffle."""
+    """``word, key, hits`` of each row: words are counted inside the row, before any shuffle.
+
+    Rows without words go after the explode: a filter on words would split every text again.
+    """
     text = F.concat_ws(" ", *[F.col(c).cast("string") for c in texts])
-    sorted_words = documents.select(key, F.array_sort(words(text)).alias("_words")).where(
-        F.size("_words") > 0
-    )
+    sorted_words = documents.select(key, F.sort_array(words(text)).alias("_words"))
     last = F.size("_words") - 1
     firsts = F.filter(
         F.sequence(F.lit(0), last),
         lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1)),
     )
-    numbered = sorted_words.select(key, "_words", firsts.alias("_firsts"))
+    some = F.when(F.size("_words") > 0, firsts)
+    numbered = sorted_words.select(key, "_words", some.alias("_firsts"))
     ends = F.concat(F.slice("_firsts", F.lit(2), F.size("_firsts")), F.array(F.size("_words")))
     entries = F.zip_with(
         "_firsts",
         ends,
         lambda a, b: F.struct(F.get("_words", a).alias("word"), (b - a).cast("bigint").alias("hits")),
     )
-    return numbered.select(key, F.explode(entries).alias("_e")).select(
-        "_e.word", key, "_e.hits"
-    )
+    exploded = numbered.select(key, F.explode_outer(entries).alias("_e"))
+    return exploded.where(F.col("_e").isNotNull()).select("_e.word", key, "_e.hits")
 
 
 def write_word_store(documents: DataFrame, key: str, texts: list[str], path: str) -> None:
     """Write the index of ``documents``, in which a key may have several rows. One shuffle.
 
     Equal words of a key meet in the range that they are written to, so they are added up there.
+    Counts are stored first: the passes that look for the ranges' ends then read no text. Ranges and
+    words are made of the words of each range, for which the postings are read once.
     """
-    ranged = word_counts(documents, key, texts).repartitionByRange("word", key)
+    counts = staged(word_counts(documents, key, texts), "word-counts")
+    ranged = counts.repartitionByRange("word", key)
     postings = ranged.groupBy("word", key).agg(F.sum("hits").alias("hits"))
     (
         postings.withColumn("range", F.spark_partition_id())
@@ -66,11 +71,19 @@ def write_word_store(documents: DataFrame, key: str, texts: list[str], path: str
     )
     spark = documents.sparkSession
     held = spark.read.parquet(f"{path}/postings")
-    held.groupBy("range").agg(
-        F.min("word").alias("first"), F.max("word").alias("last"), F.count("*").alias("postings")
+    by_range = staged(
+        held.groupBy("range", "word").agg(
+            F.count("*").alias("documents"), F.sum("hits").alias("hits")
+        ),
+        "range-words",
+    )
+    by_range.groupBy("range").agg(
+        F.min("word").alias("first"),
+        F.max("word").alias("last"),
+        F.sum("documents").alias("postings"),
     ).write.mode("overwrite").parquet(f"{path}/ranges")
-    counted = held.groupBy("word").agg(
-        F.count("*").alias("documents"), F.sum("hits").alias("hits")
+    counted = by_range.groupBy("word").agg(
+        F.sum("documents").alias("documents"), F.sum("hits").alias("hits")
     )
     counted.repartitionByRange("word").sortWithinPartitions("word").write.mode(
         "overwrite"
