@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators.lists import fields_in_parts, first_fields, further_fields, list_parts
-
+from rosterline.operators.lists import (
+    _cut,
+    fields_in_parts,
+    first_fields,
+    further_fields,
+    list_parts,
+)
 
 
 @pytest.mark.parametrize("max_keys", [3, 100_000])
@@ -43,3 +49,26 @@ def test_rows_of_ordinary_keys_are_shuffled_once(spark):
     plan = first._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression [key") == 1
     assert "_salt" not in plan
+
+
+def test_a_list_of_many_parts_is_cut_in_one_pass(spark):
+    """3,000 items in parts of two: the work does not grow with items times parts."""
+    items = F.sort_array(F.collect_list(F.col("id").cast("string")))
+    rows = spark.range(60_000).groupBy((F.col("id") % 20).alias("k")).agg(items.alias("items"))
+    parts = _cut(F.col("items"), F.size("items").cast("bigint"), 2)
+    started = time.perf_counter()
+    made = rows.select("k", F.explode(parts).alias("p")).select("k", "p.part", "p.items").collect()
+    seconds = time.perf_counter() - started
+    assert sorted(int(x) for r in made for x in r["items"]) == list(range(60_000))
+    assert len({(r.k, r.part) for r in made}) == len(made)
+    assert all(r["items"] == sorted(r["items"]) and 0 <= r.part <= 1_500 for r in made)
+    plan = rows.select(parts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(transform" in plan and seconds < 30
+
+
+def test_parts_of_a_list_come_out_of_one_broadcast(spark):
+    df = spark.range(1_000).select(
+        (F.col("id") % 3).alias("key"), F.col("id").cast("string").alias("x")
+    )
+    plan = list_parts(df, ["key"], F.col("x"), "out", 5)._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("BroadcastHashJoin") == 1
